@@ -5,25 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from queries import views as v
+from queries.family import Family
 from textlab.functions import text as tx
 from textlab.operators import enrich as en
 from textlab.operators import profile
 from textlab.plans import comparisons, overview
 from textlab.sources.files import source_info
 
-QUERIES, ORACLES = {}, {}
-
-
-def query(name: str, sql: str | None = None):
-    def register(function):
-        QUERIES[name] = function
-        if sql:
-            ORACLES[name] = sql
-        return function
-    return register
-
-
-
+family = Family()
+query = family.query
 
 
 @query("shape", f"""WITH {v.SENTENCES}
@@ -107,10 +97,10 @@ def avg_length(spark, sf):
     return profile.avg_length(v.sentences(spark, sf), "sentence")
 
 
-@query("filter_contains", """SELECT p_partkey, p_name, p_type FROM part WHERE contains(p_type, 'BRASS')""")
+@query("filter_contains", """SELECT p_partkey, p_name, p_type FROM part WHERE contains(p_name, 'ring')""")
 def filter_contains(spark, sf):
     part = v.table(spark, sf, "part").select("p_partkey", "p_name", "p_type")
-    return comparisons.filter_contains(part, "p_type", "BRASS")
+    return comparisons.filter_contains(part, "p_name", "ring")
 
 
 @query("filter_contains_text", """SELECT doc_id, text, source FROM documents WHERE contains(text, 'the')""")

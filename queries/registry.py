@@ -6,15 +6,15 @@ from importlib import import_module
 
 from queries import views as v
 
-FAMILIES = ["profiling"]
+FAMILIES = ["profiling", "text", "vectors", "outliers", "tabular"]
 
 
 def queries() -> dict:
-    return {k: q for family in FAMILIES for k, q in import_module(f"queries.{family}").QUERIES.items()}
+    return {k: q for family in FAMILIES for k, q in import_module(f"queries.{family}").family.queries.items()}
 
 
 def oracle_sql() -> dict:
-    return {k: q for family in FAMILIES for k, q in import_module(f"queries.{family}").ORACLES.items()}
+    return {k: q for family in FAMILIES for k, q in import_module(f"queries.{family}").family.oracles.items()}
 
 
 def flagship(spark, sf_dir):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,11 +65,11 @@ def outlier_profile(flagged: DataFrame, weight: str | None = None) -> DataFrame:
     return flagged.groupBy("is_outlier").agg(*spread("char_count"), *spread("word_count"))
 
 
-def outlier_top(flagged: DataFrame, key: str, k: int = 10, text: str = "sentence") -> DataFrame:
+def outlier_top(flagged: DataFrame, key: Sequence[str], k: int = 10, text: str = "sentence") -> DataFrame:
     """The ``k`` most anomalous outliers with a shortened text; equal scores by key."""
     return (
         flagged.filter(F.col("is_outlier") == 1)
-        .orderBy(F.desc("anomaly_score"), key)
+        .orderBy(F.desc("anomaly_score"), *key)
         .limit(k)
         .withColumn(text, preview(text, 200))
     )

@@ -46,8 +46,7 @@ def outlier_report(
             "contamination_rate": F.lit(contamination), "algorithm": F.lit("Isolation Forest"),
         }),
         "profile": outlier_profile(counted, "n"),
-        "top": outlier_top(flagged, key[0], top, text) if len(key) == 1
-        else outlier_top(flagged.withColumn("_key", F.struct(*key)), "_key", top, text).drop("_key"),
+        "top": outlier_top(flagged, key, top, text),
         "flagged": flagged,
         "nodes": model.nodes_frame(df.sparkSession),
     }

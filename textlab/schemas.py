@@ -101,7 +101,10 @@ QUALITY_LABELS = {
 
 def section_dimension(spark: SparkSession) -> DataFrame:
     """The section dimension as a DataFrame (15 rows, fixed)."""
-    return spark.createDataFrame(SECTIONS, SECTION_SCHEMA)
+    import pandas as pd
+
+    columns = ["section", "name", "priority", "note"]
+    return spark.createDataFrame(pd.DataFrame(SECTIONS, columns=columns), SECTION_SCHEMA)
 
 
 def check_schema(df: DataFrame, expected: T.StructType) -> DataFrame:
