@@ -65,14 +65,15 @@ def split_stratified(spark, sf):
     return sampling.split_flag(labels, ["quality"], ["doc_id"])
 
 
-def chunk_sql(max_chars: int) -> str:
+def chunk_sql(max_chars: int, where: str = "true") -> str:
     return f"""{v.SECTION_ROWS}, {v.SENTENCES},
+kept AS (SELECT * FROM sentences WHERE {where}),
 placed AS (
   SELECT *, row_number() OVER g - 1 AS pos, count(*) OVER (PARTITION BY "docID", section) AS n,
          sentence AS s1, lead(sentence, 1) OVER g AS s2, lead(sentence, 2) OVER g AS s3,
          first_value(name) OVER g AS first_name, first_value("reportDate") OVER g AS first_date,
          first_value(cik) OVER g AS first_cik
-  FROM sentences WINDOW g AS (PARTITION BY "docID", section ORDER BY "sentenceID", sentence)),
+  FROM kept WINDOW g AS (PARTITION BY "docID", section ORDER BY "sentenceID", sentence)),
 heads AS (
   SELECT *, concat_ws(' ', s1, s2, s3) AS joined FROM placed
   WHERE (pos % 2 = 0 AND pos <= n - 3) OR (pos = 0 AND n < 3)),
@@ -167,24 +168,16 @@ def normalize_vectors(spark, sf):
     return unit.select("vec_id", F.posexplode("embedding").alias("place", "x")).withColumn("x", F.round("x", 6))
 
 
-@query("step_metrics", f"""WITH {chunk_sql(2000)},
-kept AS (SELECT * FROM sentences WHERE len(string_split(sentence, ' ')) >= 3),
-groups AS (SELECT "docID", section, count(*) AS n FROM kept GROUP BY ALL)
+@query("step_metrics", f"""WITH {chunk_sql(2000, "len(string_split(sentence, ' ')) >= 3")}
 SELECT 'row_count' AS key, count(*) AS value FROM kept
-UNION ALL SELECT 'chunk_count', CAST(sum(CASE WHEN n < 3 THEN 1 ELSE (n - 3) // 2 + 1 END) AS BIGINT) FROM groups
-UNION ALL SELECT 'embeddings_created', CAST(sum(CASE WHEN n < 3 THEN 1 ELSE (n - 3) // 2 + 1 END) AS BIGINT) FROM groups
-UNION ALL SELECT 'column_count', 13""")
+UNION ALL SELECT 'column_count', 13
+UNION ALL SELECT 'chunk_count', count(*) FROM chunks
+UNION ALL SELECT 'embeddings_created', count(*) FROM chunks""")
 def step_metrics(spark, sf):
     dimension = v.sections(spark)
     rows = enrich(v.sentences(spark, sf), dimension)
-    # parts of a split chunk are counted once here, so that the SQL needs no packing
-    chunked = chunking.chunks(rows, dimension, max_chars=1_000_000)
-    columns = F.explode(F.array(*[F.lit(c) for c in rows.columns]))
-    return step_counts({
-        "row_count": rows,
-        "chunk_count": chunked,
-        "embeddings_created": embedding.embed(chunked).filter(F.size("embedding") > 0),
-    }).unionByName(
-        step_counts({"row_count": rows}).select(F.lit("column_count").alias("key"), columns.alias("c"))
-        .groupBy("key").agg(F.count("c").alias("value"))
+    chunked = chunking.chunks(rows, dimension)
+    return step_counts(
+        {"row_count": rows, "chunk_count": chunked, "embeddings_created": embedding.embed(chunked)},
+        {"column_count": len(rows.columns)},
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textlab.schemas import SECTIONS, section_dimension
+from textlab.sources.files import spread
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -21,7 +22,8 @@ def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents cut at every ". ", eight pieces per section."""
     parts = F.split("text", r"\. ", -1)
     report = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("doc_id") % 365).cast("int"))
-    cut = table(spark, sf_dir, "documents").select(
+    documents = spread(table(spark, sf_dir, "documents").drop("n_chars"), "doc_id")
+    cut = documents.select(
         F.col("doc_id").alias("docID"), F.col("source").alias("name"), F.col("lang").alias("cik"),
         report.alias("reportDate"), F.posexplode(parts).alias("pos", "sentence"),
     )

@@ -34,25 +34,22 @@ def _with_value(value: Column, body) -> Column:
 
 def l2_normalize(a: Column | str) -> Column:
     """Divide by the length; the zero vector stays zero."""
-    c = _column(a)
-    return _with_value(
-        norm(c),
-        lambda length: F.transform(
-            c, lambda x: F.when(length > 0, x.cast("double") / length).otherwise(F.lit(0.0))
-        ),
-    )
 
+    def divided(vector: Column) -> Column:
+        return _with_value(
+            norm(vector),
+            lambda length: F.transform(
+                vector, lambda x: F.when(length > 0, x.cast("double") / length).otherwise(F.lit(0.0))
+            ),
+        )
+
+    return _with_value(_column(a), divided)
 
-def hashed_counts(text: Column | str, dim: int) -> Column:
-    """Bag of words hashed into ``dim`` buckets: the first 32 bits of each word's MD5, modulo ``dim``."""
+
+def hash_buckets(text: Column | str, dim: int) -> Column:
+    """The bucket of every word as a string: the first 32 bits of its MD5, modulo ``dim``."""
     words = F.filter(F.split(_column(text), r"\s+"), lambda w: w != "")
-    buckets = F.transform(
-        words, lambda w: (F.conv(F.substring(F.md5(w.cast("binary")), 1, 8), 16, 10).cast("long") % dim).cast("int")
-    )
-    return _with_value(
-        buckets,
-        lambda found: F.transform(
-            F.sequence(F.lit(0), F.lit(dim - 1)),
-            lambda i: F.size(F.filter(found, lambda b: b == i)).cast("double"),
-        ),
+    return F.transform(
+        words,
+        lambda w: (F.conv(F.substring(F.md5(w.cast("binary")), 1, 8), 16, 10).cast("long") % dim).cast("string"),
     )

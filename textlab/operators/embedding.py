@@ -29,9 +29,7 @@ def embed(
     """
     rows = df.repartition(partitions) if partitions else df
     if loader is None:
-        # casting an all-zero vector is safe: normalising leaves it as it is
-        vector = vx.l2_normalize(vx.hashed_counts(F.coalesce(F.col(text), F.lit("")), dim)).cast("array<float>")
-        return rows.withColumn("embedding", vector).withColumn("embedding_dim", F.size("embedding"))
+        return _embed_by_hash(rows, text, dim).withColumn("embedding_dim", F.size("embedding"))
 
     import pandas as pd
 
@@ -53,6 +51,23 @@ def embed(
     return rows.withColumn("embedding", run_model(text)).withColumn("embedding_dim", F.size("embedding"))
 
 
+def _embed_by_hash(df: DataFrame, text: str, dim: int) -> DataFrame:
+    """Word counts per bucket, normalised; a text without words keeps the zero vector."""
+    from pyspark.ml.feature import CountVectorizerModel, Normalizer
+    from pyspark.ml.functions import vector_to_array
+
+    counter = CountVectorizerModel.from_vocabulary(
+        [str(i) for i in range(dim)], inputCol="_buckets", outputCol="_counts"
+    )
+    unit = Normalizer(inputCol="_counts", outputCol="_unit", p=2.0)
+    bucketed = df.withColumn("_buckets", vx.hash_buckets(F.coalesce(F.col(text), F.lit("")), dim))
+    return (
+        unit.transform(counter.transform(bucketed))
+        .withColumn("embedding", vector_to_array("_unit", "float32"))
+        .drop("_buckets", "_counts", "_unit")
+    )
+
+
 def embed_query(spark, text: str, **options) -> list[float]:
     """The vector of one query text, made by the same embedder as the table."""
     row = embed(spark.createDataFrame([(text,)], "text string"), "text", **options).select("embedding").first()

@@ -64,12 +64,16 @@ def run(
     return spark.createDataFrame(metrics, "key string, value long")
 
 
-def step_counts(steps: Mapping[str, DataFrame]) -> DataFrame:
-    """(key, value) rows counted from the given steps, without writing anything."""
+def step_counts(steps: Mapping[str, DataFrame], known: Mapping[str, int] | None = None) -> DataFrame:
+    """(key, value) rows counted from the given steps, without writing anything; ``known`` values
+    are added as they are."""
     counted = [
         df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(key).alias("key"), "value") for key, df in steps.items()
     ]
     result = counted[0]
     for other in counted[1:]:
         result = result.unionByName(other)
+    if known:
+        pairs = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(n).cast("long").alias("value")) for k, n in known.items()])
+        result = result.unionByName(counted[0].select(F.inline(pairs)))
     return result

@@ -15,6 +15,13 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     return check_schema(df, schema) if schema else df
 
 
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """Hash-partition a scan that has fewer splits than the session has cores, so that costly row
+    work after it uses all of them; larger scans are returned unchanged."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *key)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = WINE_TABLE) -> DataFrame:
     """CSV with a header in any column order; the header must hold exactly the declared columns."""
     header = spark.read.option("header", True).csv(path).columns
