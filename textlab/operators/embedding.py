@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,12 +32,9 @@ def embed(
     if loader is None:
         return _embed_by_hash(rows, text, dim).withColumn("embedding_dim", F.size("embedding"))
 
-    import pandas as pd
-
     @F.pandas_udf("array<float>")
     def run_model(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import numpy as np
-        import pandas as pd
 
         model = loader()
         for texts in batches:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from math import ceil, log2
+from math import ceil, log, log2
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from textlab.operators.sampling import sample_n
 
+EULER = 0.5772156649015329
 NODES = "tree int, node int, feature int, threshold double, left int, right int, size int, path_length double"
 
 
@@ -80,11 +81,13 @@ class IsolationForest:
 
 
 def average_path(size: int) -> float:
-    """Expected path length of an unsuccessful search among ``size`` points."""
+    """Expected path length of an unsuccessful search among ``size`` points, with the harmonic
+    number taken as ln(i) + Euler's constant."""
     if size < 2:
         return 0.0
-    harmonic = sum(1.0 / i for i in range(1, size))
-    return 2.0 * harmonic - 2.0 * (size - 1) / size
+    if size == 2:
+        return 1.0
+    return 2.0 * (log(size - 1) + EULER) - 2.0 * (size - 1) / size
 
 
 def _height(size: int) -> int:

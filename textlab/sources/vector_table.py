@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from textlab.operators.profile import table_counts
 from textlab.operators.sizing import small_side
 
 
@@ -45,7 +47,12 @@ def first_rows(table: DataFrame, key: str, n: int, where: Column | None = None)
 
 
 class VectorTable:
-    """Create, upsert, delete from and drop one table of ``database``."""
+    """Create, upsert, delete from and drop one table of ``database``.
+
+    The name is a view of the current version. A change writes the next version as a new table and
+    then replaces the view, so readers see either all of it or none; the version before stays until
+    the change after, for readers that are still on it.
+    """
 
     def __init__(
         self, spark: SparkSession, name: str, database: str = "textlab_vectors",
@@ -54,13 +61,9 @@ class VectorTable:
         self.spark, self.database, self.key, self.vector = spark, database, key, vector
         self.table, self.name, self.partition_by = name, f"{database}.{name}", list(partition_by)
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-        self._finish_swap()
-
-    def _has(self, table: str) -> bool:
-        return self.spark.catalog.tableExists(f"{self.database}.{table}")
 
     def exists(self) -> bool:
-        return self._has(self.table)
+        return self.spark.catalog.tableExists(self.name)
 
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
@@ -70,16 +73,12 @@ class VectorTable:
         row = self.read().select(F.size(self.vector)).first() if self.exists() else None
         return row[0] if row else None
 
-    def _write(self, df: DataFrame, name: str) -> None:
-        writer = df.write.mode("overwrite").format("parquet")
-        (writer.partitionBy(*self.partition_by) if self.partition_by else writer).saveAsTable(name)
-
-    def ensure(self, schema, dim: int) -> bool:
+    def ensure(self, schema: T.StructType, dim: int) -> bool:
         """Keep a table whose vectors have ``dim`` entries; otherwise start an empty one. True if new."""
         if self.exists() and self.dimension() in (None, dim):
             return False
         self.drop()
-        self._write(self.spark.createDataFrame([], schema), self.name)
+        self._replace(self.spark.createDataFrame([], schema))
         return True
 
     def upsert(self, updates: DataFrame, seq: str) -> None:
@@ -98,34 +97,47 @@ class VectorTable:
     def delete(self, condition: Column) -> None:
         self._replace(without(self.read(), condition))
 
+    def drop(self) -> None:
+        self.spark.sql(f"DROP VIEW IF EXISTS {self.name}")
+        for number in self._versions():
+            self._drop_version(number)
+
+    def _versions(self) -> list[int]:
+        prefix = f"{self.table}__v"
+        names = [t.name for t in self.spark.catalog.listTables(self.database)]
+        return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
+
+    def _drop_version(self, number: int) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}__v{number}")
+
+    def _current(self) -> int | None:
+        """The version the view shows, kept in its comment."""
+        return int(self.spark.catalog.getTable(self.name).description) if self.exists() else None
+
     def _replace(self, content: DataFrame) -> None:
-        """Write the new content beside the table, then swap names; the old files go last."""
-        self._write(content, f"{self.name}__next")
-        self.spark.sql(f"ALTER TABLE {self.name} RENAME TO {self.name}__old")
-        self._finish_swap()
-
-    def _finish_swap(self) -> None:
-        """Complete a swap, also one that was interrupted; drop a new version that never got that far."""
-        if self._has(f"{self.table}__old"):
-            if not self.exists():
-                self.spark.sql(f"ALTER TABLE {self.name}__next RENAME TO {self.name}")
-            self.spark.sql(f"DROP TABLE {self.name}__old")
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}__next")
+        before, versions = self._current(), self._versions()
+        number = max(versions, default=0) + 1
+        version = f"{self.name}__v{number}"
+        writer = content.write.format("parquet")
+        (writer.partitionBy(*self.partition_by) if self.partition_by else writer).saveAsTable(version)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name} COMMENT '{number}' AS SELECT * FROM {version}")
+        for old in versions:
+            if old != before:
+                self._drop_version(old)
 
-    def drop(self) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+def _names(spark: SparkSession, database: str) -> list[str]:
+    return [t.name for t in spark.catalog.listTables(database) if t.tableType == "VIEW" and t.namespace == [database]]
 
 
 def list_tables(spark: SparkSession, database: str = "textlab_vectors") -> DataFrame:
     """(table_name, n) of every vector table in our own database."""
-    from textlab.operators.profile import table_counts
-
-    names = [t.name for t in spark.catalog.listTables(database)]
+    names = _names(spark, database)
     if not names:
         return spark.createDataFrame([], "table_name string, n long")
     return table_counts({name: spark.table(f"{database}.{name}") for name in names})
 
 
 def drop_all(spark: SparkSession, database: str = "textlab_vectors") -> None:
-    for table in spark.catalog.listTables(database):
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{table.name}")
+    for name in _names(spark, database):
+        VectorTable(spark, name, database).drop()
