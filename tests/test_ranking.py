@@ -22,7 +22,7 @@ def test_no_hot_groups(spark):
 
 @pytest.mark.parametrize("values", [
     list(range(1000)), [1.0] * 50, [1e-300, 1e300] * 20 + [0.5], list(np.random.default_rng(1).exponential(size=3000)),
-    [2**60 + i for i in range(300)],
+    [2**60 + i for i in range(300)], [-1.7e308, 1.7e308, 0.0, 1.0] * 10,
 ])
 @pytest.mark.parametrize("small", [5, 100_000])
 def test_exact_quantile(spark, monkeypatch, values, small):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from textlab.operators.enrich import with_section_name
 from textlab.operators.ranking import HOT_ROWS, block_count, blocked_positions, hot_groups, split_hot
+from textlab.operators.sizing import small_side
 
 META = ["name", "reportDate", "cik", "section_priority"]
 
@@ -58,7 +59,7 @@ def _windows_of_hot(
         .select(*keys, "_n", "_start", F.col("_parts._text").alias("_texts"), F.struct(*keys).alias("_group"))
     )
     heads = placed.filter(pos == 0).select(F.struct(*keys).alias("_group"), *META)
-    return gathered.join(heads, "_group").select(*keys, *META, "_start", "_n", "_texts")
+    return gathered.join(small_side(heads), "_group").select(*keys, *META, "_start", "_n", "_texts")
 
 
 def pack(texts: Column, max_chars: int) -> Column:
@@ -124,7 +125,8 @@ def _chunk_records(windows: DataFrame, sections: DataFrame, w: int, max_chars: i
         .withColumn("_parts", F.when(F.col("_split"), pack(F.col("_texts"), max_chars)).otherwise(F.array("text")))
         .drop("text", "char_count", "_texts")
     )
-    parts = built.select("*", F.posexplode("_parts").alias("_part", "text")).drop("_parts")
+    # a chunk always has a part; the outer form keeps the packing out of an inferred pre-filter
+    parts = built.select("*", F.posexplode_outer("_parts").alias("_part", "text")).drop("_parts")
     named = with_section_name(parts, sections)
     return named.select(
         F.when(F.col("_split"), F.concat(name, F.lit("_part"), F.col("_part").cast("string")))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,15 +45,18 @@ def train_classifier(
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 
-    names = StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc").fit(train)
+    # several passes read these few columns; losing a cached block only recomputes it
+    rows = train.select(label, *features).persist(StorageLevel.MEMORY_AND_DISK)
+    names = StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc").fit(rows)
     prepare = Pipeline(stages=[
-        _scaler_stage(fit_scaler(train, features)),
+        _scaler_stage(fit_scaler(rows, features)),
         VectorAssembler(inputCols=[f"_scaled_{f}" for f in features], outputCol="_features", handleInvalid="keep"),
-    ]).fit(train)
+    ]).fit(rows)
     forest = RandomForestClassifier(
         featuresCol="_features", labelCol="_label", predictionCol="_prediction", probabilityCol="_probability",
         rawPredictionCol="_raw", numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf, seed=seed,
-    ).fit(names.transform(prepare.transform(train)))
+    ).fit(names.transform(prepare.transform(rows)))
+    rows.unpersist()
     back = IndexToString(inputCol="_prediction", outputCol="_predicted", labels=names.labels)
     return PipelineModel(stages=[*prepare.stages, forest, back])
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from math import floor
+from math import floor, isinf
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,9 +29,16 @@ def nth_values(df: DataFrame, value: str, ranks: list[int], weight: str | None =
     becomes the next range until the range holds few distinct values. ``weight`` is a row count.
     """
     rows = _ranked(df, value, weight)
-    low, high, total = rows.agg(F.min("v"), F.max("v"), F.sum("w")).first()
+    return _select(rows, rows.agg(F.min("v"), F.max("v"), F.sum("w")).first(), ranks)
+
+
+def _select(rows: DataFrame, extent, ranks: list[int]) -> list:
+    """The narrowing itself, given the smallest value, the largest value and the row count."""
+    low, high, total = extent
     if total is None or any(not 0 <= r < total for r in ranks):
         raise ValueError(f"ranks {ranks} outside 0..{(total or 0) - 1}")
+    if isinf(low) or isinf(high):
+        raise ValueError("order statistics need finite values")
     found: dict[int, float] = {}
     pending = [(low, high, 0, total, sorted(set(ranks)))]
     while pending:
@@ -41,18 +48,18 @@ def nth_values(df: DataFrame, value: str, ranks: list[int], weight: str | None =
             continue
         part = rows.filter(F.col("v").between(low, high))
         if inside <= LIST_VALUES:
-            bins = part.groupBy(F.col("v").alias("lo"), F.col("v").alias("hi"))
+            counted = part.groupBy("v").agg(F.sum("w").alias("n")).orderBy("v").select("v", "v", "n")
         else:
             # whole numbers are subtracted as such where that cannot overflow: doubles would lose digits
-            v = F.col("v") if high - low < 2**62 else F.col("v").cast("double")
-            scaled = (v - F.lit(low)).cast("double") / F.lit(float(high - low)) * F.lit(float(BINS))
-            slot = F.least(F.floor(scaled).cast("long"), F.lit(BINS - 1))
-            bins = part.groupBy(slot.alias("slot"))
-        if inside <= LIST_VALUES:
-            counted = bins.agg(F.sum("w").alias("n")).orderBy("lo").select("lo", "hi", "n")
-        else:
+            if isinstance(low, int) and high - low < 2**62:
+                scaled = (F.col("v") - F.lit(low)).cast("double") / F.lit(float(high - low))
+            else:
+                # halves, because the distance between two finite doubles may not be finite
+                scaled = (F.col("v").cast("double") / 2 - F.lit(low / 2)) / F.lit(high / 2 - low / 2)
+            slot = F.least(F.floor(scaled * F.lit(float(BINS))).cast("long"), F.lit(BINS - 1))
             counted = (
-                bins.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("w").alias("n"))
+                part.groupBy(slot.alias("slot"))
+                .agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("w").alias("n"))
                 .orderBy("slot").select("lo", "hi", "n")
             )
         for lo, hi, n in counted.collect():
@@ -65,12 +72,14 @@ def nth_values(df: DataFrame, value: str, ranks: list[int], weight: str | None =
 
 def exact_quantile(df: DataFrame, value: str, p: float, weight: str | None = None) -> float | None:
     """The ``p`` quantile with linear interpolation between neighbours; None for no rows."""
-    n = _ranked(df, value, weight).agg(F.sum("w")).first()[0]
+    rows = _ranked(df, value, weight)
+    extent = rows.agg(F.min("v"), F.max("v"), F.sum("w")).first()
+    n = extent[2]
     if not n:
         return None
     place = p * (n - 1)
     first = floor(place)
     if first >= n - 1:
-        return nth_values(df, value, [n - 1], weight)[0]
-    a, b = nth_values(df, value, [first, first + 1], weight)
+        return _select(rows, extent, [n - 1])[0]
+    a, b = _select(rows, extent, [first, first + 1])
     return a + (b - a) * (place - first)
