@@ -149,7 +149,7 @@ SELECT "docID", "sentenceID", bucket, round(CAST(weight AS DOUBLE), 6) AS weight
 def embed_hash(spark, sf):
     vectors = embedding.embed(v.sentences(spark, sf).select("docID", "sentenceID", "sentence"), "sentence", 64)
     return (
-        vectors.select("docID", "sentenceID", F.posexplode("embedding").alias("bucket", "weight"))
+        vectors.select("docID", "sentenceID", F.posexplode_outer("embedding").alias("bucket", "weight"))
         .filter("weight <> 0")
         .withColumn("weight", F.round(F.col("weight").cast("double"), 6))
     )

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from textlab.functions import text as tx
 from textlab.operators.sampling import sample_n
-from textlab.operators.sizing import small_side
 from textlab.schemas import UNUSED_SENTENCE_COLUMNS
 
 
@@ -23,8 +22,11 @@ def text_features(df: DataFrame, text: str = "sentence") -> DataFrame:
 
 
 def lookup(df: DataFrame, dimension: DataFrame, key: str, value: str, name: str, default) -> DataFrame:
-    """Left outer lookup of ``dimension.value`` by ``key``; unknown keys get ``default`` (a Column)."""
-    side = small_side(dimension.select(F.col(key).alias("_key"), F.col(value).alias("_value")))
+    """Left outer lookup of ``dimension.value`` by ``key``; unknown keys get ``default`` (a Column).
+
+    No hint: the planner broadcasts a dimension whose size it knows to be below its threshold.
+    """
+    side = dimension.select(F.col(key).alias("_key"), F.col(value).alias("_value"))
     return (
         df.join(side, F.col(key) == F.col("_key"), "left")
         .withColumn(name, F.coalesce("_value", default))

@@ -10,10 +10,11 @@ from dataclasses import dataclass
 from math import ceil, log, log2
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textlab.operators.sampling import sample_n
+from textlab.operators.sizing import bounded_rows
 
 EULER = 0.5772156649015329
 NODES = "tree int, node int, feature int, threshold double, left int, right int, size int, path_length double"
@@ -99,20 +100,24 @@ def fit_isolation_forest(
 ) -> IsolationForest:
     """Fit ``trees`` trees of up to ``psi`` rows each.
 
-    The trees draw from a common exact sample of ``trees * psi`` rows, so the work after that
-    sample does not depend on the size of ``df``. Rows are chosen by hashes of ``key``.
+    A common exact sample of ``trees * psi`` rows is dealt out to the trees, so the work after it
+    does not depend on the size of ``df``. Of fewer rows every tree draws its own ``psi``. Rows are
+    chosen by hashes of ``key``.
     """
     features = list(features)
-    pool = sample_n(df.select(*key, *features), trees * psi, key, seed)
-    draw = F.xxhash64(*key, F.col("tree"), F.lit(seed))
-    ranked = Window.partitionBy("tree").orderBy("_draw", *key)
-    draws = (
-        pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        .withColumn("_draw", draw)
-        .withColumn("_nth", F.row_number().over(ranked))
-        .filter(F.col("_nth") <= psi)
-        .select("tree", "_nth", *[F.col(f).cast("double").alias(f) for f in features])
-    )
+    wanted = trees * psi
+    pool = bounded_rows(sample_n(df.select(*key, *features), wanted, key, seed), wanted)
+    if pool.count() == wanted:
+        deal = F.row_number().over(Window.orderBy(F.xxhash64(*key, F.lit(seed)), *key)) - 1
+        drawn = pool.withColumn("_nth", deal).withColumn("tree", F.col("_nth") % trees)
+    else:
+        draw = F.xxhash64(*key, F.col("tree"), F.lit(seed))
+        drawn = (
+            pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+            .withColumn("_nth", F.row_number().over(Window.partitionBy("tree").orderBy(draw, *key)))
+            .filter(F.col("_nth") <= psi)
+        )
+    draws = drawn.select("tree", "_nth", *[F.col(f).cast("double").alias(f) for f in features])
     table = average_path_table(psi)
     height = _height(psi)
 

@@ -47,9 +47,14 @@ def group_count(df: DataFrame, column: str, count_name: str = "n") -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias(count_name))
 
 
-def top_groups(df: DataFrame, column: str, k: int, count_name: str = "n") -> DataFrame:
-    """The ``k`` most frequent values; equal counts are ordered by value."""
-    return group_count(df, column, count_name).orderBy(F.desc(count_name), F.asc_nulls_first(column)).limit(k)
+def top_groups(
+    df: DataFrame, column: str, k: int, count_name: str = "n", weight: str | None = None
+) -> DataFrame:
+    """The ``k`` most frequent values; equal counts are ordered by value. ``weight`` is a row count
+    per input row, for tables that were counted before."""
+    rows = F.sum(weight) if weight else F.count(F.lit(1))
+    counted = df.groupBy(column).agg(rows.alias(count_name))
+    return counted.orderBy(F.desc(count_name), F.asc_nulls_first(column)).limit(k)
 
 
 def first_distinct(df: DataFrame, column: str, k: int = 10) -> DataFrame:

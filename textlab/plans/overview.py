@@ -29,14 +29,16 @@ def overall_stats(
         F.max(date).cast("string").alias("latest"),
         *[n.alias(f"missing {c}") for c, n in profile.null_counts(df.columns).items()],
     )
+    # both listings add up the same counts, so the table is read once for the two of them
+    pairs = df.groupBy(group, section).agg(F.count(F.lit(1)).alias("_rows"))
     parts = {
         "scalars": scalars,
         "shape": profile.shape(df),
         "unique_values": profile.unique_counts(df, distinct, approx),
-        "top_groups": profile.top_groups(df, group, 10),
+        "top_groups": profile.top_groups(pairs, group, 10, weight="_rows"),
         "date_range": profile.date_range(df, date),
         "text_statistics": profile.text_stats(df, text),
-        "section_distribution": profile.top_groups(df, section, 15),
+        "section_distribution": profile.top_groups(pairs, section, 15, weight="_rows"),
         "missing_data": profile.missing_data(df),
     }
     for column in lists:
