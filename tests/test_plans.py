@@ -1,10 +1,16 @@
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from queries import views
-from textlab.plans import retrieval
-from textlab.schemas import SECTIONS, check_schema
+from textlab.operators.chunking import chunks
+from textlab.operators.embedding import embed, embed_query
+from textlab.operators.enrich import enrich
+from textlab.operators.search import filters, search
+from textlab.plans import comparisons, overview, retrieval
+from textlab.schemas import SECTIONS, SENTENCES, UNUSED_SENTENCE_COLUMNS, check_schema, section_dimension
 from textlab.sources import files
 from textlab.sources.vector_table import VectorTable, drop_all
 
@@ -62,8 +68,9 @@ def test_source_info(spark, sf, tmp_path):
     info = files.source_info(spark, f"{sf}/documents.parquet").first()
     assert (info.total_rows, info.total_columns, info.n_files, info.exists) == (200, 5, 1, True)
     assert info.size_mb > 0
-    assert files.exists(spark, f"{sf}/documents.parquet")
-    assert not files.exists(spark, str(tmp_path / "nothing"))
+    assert files.exists(spark, f"{sf}/documents.parquet") and files.exists(spark, sf)
+    missing = files.source_info(spark, str(tmp_path / "nothing")).first()
+    assert (missing.exists, missing.total_rows) == (False, 0)
 
 
 def test_spread(spark, sf):
@@ -79,3 +86,39 @@ def test_section_dimension(spark):
     by_priority = {r.priority: r["count"] for r in dimension.groupBy("priority").count().collect()}
     assert by_priority == {"highest": 1, "high": 4, "medium": 5, "low": 5}
     assert dimension.filter(F.col("note").isNotNull()).count() == 3
+
+
+def filing_rows():
+    day = datetime.date
+    companies = [("ACME CORP", "11", ["AC", "AX"]), ("Widget Inc", "22", ["W"]), (None, "33", None)]
+    for d in range(6):
+        name, cik, tickers = companies[d % 3]
+        for section in (1, 8, 13, 14):
+            for i in range(d + 2):
+                text = ["Risk is high in this market", "1 2 3 4", "NA", "We sell widgets to many customers"][(i + d) % 4]
+                yield (f"doc{d}", i, section, text, name, cik, tickers, day(2020, 1, 1 + d), day(2019, 12, 1 + d), 1, 0, 9)
+
+
+def test_a_whole_filing_table(spark, tmp_path):
+    spark.createDataFrame(list(filing_rows()), SENTENCES).write.parquet(str(tmp_path / "s"))
+    df = files.read_parquet(spark, str(tmp_path / "s"), SENTENCES)
+    rows = list(filing_rows())
+    report = {(r.part, r["item"]): (r.value, r.text)
+              for r in overview.as_rows(df, overview.overall_stats(df, lists=["tickers"])).collect()}
+    assert report["shape", "rows"][0] == len(rows)
+    assert report["unique", "name"][0] == 3 and report["unique", "tickers"][0] == 4
+    assert report["dates", "earliest"][1] == "2020-01-01"
+    assert report["missing", "name"][0] == sum(r[4] is None for r in rows)
+    assert report["top_groups", None][0] == report["missing", "name"][0]
+    assert comparisons.filter_contains(df, "name", "CORP").count() == sum(r[4] == "ACME CORP" for r in rows)
+
+    dimension = section_dimension(spark)
+    enriched = enrich(df, dimension)
+    assert set(UNUSED_SENTENCE_COLUMNS).isdisjoint(enriched.columns)
+    assert enriched.count() == sum(len(r[3].split(" ")) >= 3 for r in rows)
+    table = embed(chunks(enriched, dimension), dim=32)
+    where = filters(company="ACME CORP", date_range=("2019-12-01", "2019-12-03"), high_priority_only=True)
+    hits = search(table, embed_query(spark, "risk in this market", dim=32), 10, where).collect()
+    assert hits and all(h.company == "ACME CORP" and h.section in (1, 8) and h.docID == "doc0" for h in hits)
+    assert {r.section_name for r in table.select("section_name").collect()} == {
+        "Risk Factors", "MD&A", "Unknown", "Section_14"}

@@ -14,7 +14,8 @@ def filter_contains(df: DataFrame, column: str, part: str) -> DataFrame:
 
 
 def sort_ascending(df: DataFrame, column: str, *tie: str) -> DataFrame:
-    """All rows in ascending order, nulls first."""
+    """All rows in ascending order, nulls first. ``tie`` columns also let a very frequent value be
+    spread over several ranges."""
     return df.orderBy(F.asc_nulls_first(column), *tie)
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textlab.schemas import WINE_REQUEST, WINE_TABLE, check_schema
 
+SOURCE_INFO = "path string, exists boolean, n_files long, size_mb double, total_rows long, total_columns long"
+
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Parquet scan; with ``schema`` the file's columns are checked against it first."""
@@ -61,8 +64,24 @@ def write_parquet(df: DataFrame, path: str, compression: str = "snappy") -> None
     df.write.mode("overwrite").option("compression", compression).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever file system the path names."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
 def source_info(spark: SparkSession, path: str) -> DataFrame:
-    """One row: files, size in MB (2 places), rows and columns, from file metadata alone."""
+    """One row: whether the path exists, files, size in MB (2 places), rows and columns.
+
+    Nothing but file metadata is read.
+    """
+    if not exists(spark, path):
+        return spark.createDataFrame([(path, False, 0, 0.0, 0, 0)], SOURCE_INFO)
     df = spark.read.parquet(path)
     files = df.groupBy(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes")
@@ -75,10 +94,3 @@ def source_info(spark: SparkSession, path: str) -> DataFrame:
         F.lit(path).alias("path"), F.lit(True).alias("exists"), "n_files", "size_mb", "total_rows",
         F.lit(len(df.columns)).cast("long").alias("total_columns"),
     )
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder is there, on whatever file system the path names."""
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -18,10 +18,15 @@ def latest_wins(updates: DataFrame, key: str, seq: Sequence[Column | str]) -> Da
     return updates.withColumn("_nth", F.row_number().over(last)).filter("_nth = 1").drop("_nth")
 
 
-def upserted(table: DataFrame, updates: DataFrame, key: str, seq: Sequence[Column | str]) -> DataFrame:
+def upserted(
+    table: DataFrame, updates: DataFrame, key: str, seq: Sequence[Column | str], cluster_by: Sequence[str] = ()
+) -> DataFrame:
     """The table after an upsert. Existing rows are only filtered by the updated keys, never sorted;
-    with few updates they are not shuffled either."""
+    with few updates they are not shuffled either. ``cluster_by`` gathers the new rows by the
+    partition columns of the files they go to; large partitions stay spread over several tasks."""
     fresh = latest_wins(updates, key, seq).select(*table.columns)
+    if cluster_by:
+        fresh = fresh.hint("rebalance", *cluster_by)
     kept = table.join(small_side(updates.select(key).distinct()), key, "left_anti")
     return kept.select(*table.columns).unionByName(fresh)
 
@@ -92,7 +97,7 @@ class VectorTable:
         if low != high:
             raise ValueError(f"vectors of different dimensions: {low} and {high}")
         self.ensure(updates.drop(seq).schema, low)
-        self._replace(upserted(self.read(), updates, self.key, [seq]))
+        self._replace(upserted(self.read(), updates, self.key, [seq], self.partition_by))
 
     def delete(self, condition: Column) -> None:
         self._replace(without(self.read(), condition))
