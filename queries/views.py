@@ -93,7 +93,7 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("v"), F.col("vec_id").cast("string")).alias("chunk_id"),
         "vec_id",
         F.col("label").alias("section"),
-        F.concat(F.lit("C"), (F.col("vec_id") % 7).cast("string")).alias("company"),
+        F.concat(F.lit("C"), F.substring(F.md5(F.col("vec_id").cast("string").cast("binary")), 1, 1)).alias("company"),
         F.date_add(F.lit("2020-01-01").cast("date"), (F.col("vec_id") % 365).cast("int")).alias("reportDate"),
         F.concat(F.lit("vector "), F.col("vec_id").cast("string"), F.lit(" of label "),
                  F.col("label").cast("string")).alias("text"),
@@ -110,7 +110,7 @@ def with_section_columns(df: DataFrame, dimension: DataFrame) -> DataFrame:
 
 VECTORS = f"""{SECTION_ROWS},
 vectors AS (
-  SELECT 'v' || vec_id AS chunk_id, vec_id, label AS section, 'C' || (vec_id % 7) AS company,
+  SELECT 'v' || vec_id AS chunk_id, vec_id, label AS section, 'C' || substr(md5(CAST(vec_id AS VARCHAR)), 1, 1) AS company,
          DATE '2020-01-01' + CAST(vec_id % 365 AS INTEGER) AS "reportDate",
          'vector ' || vec_id || ' of label ' || label AS text, CAST(embedding AS DOUBLE[]) AS embedding,
          coalesce(s.priority, 'unknown') AS priority, coalesce(s.name, 'Section_' || label) AS section_name

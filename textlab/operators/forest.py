@@ -107,6 +107,8 @@ def fit_isolation_forest(
     features = list(features)
     wanted = trees * psi
     pool = bounded_rows(sample_n(df.select(*key, *features), wanted, key, seed), wanted)
+    if pool is None:
+        raise ValueError(f"{list(key)} does not identify rows")
     if pool.count() == wanted:
         deal = F.row_number().over(Window.orderBy(F.xxhash64(*key, F.lit(seed)), *key)) - 1
         drawn = pool.withColumn("_nth", deal).withColumn("tree", F.col("_nth") % trees)

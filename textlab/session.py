@@ -31,10 +31,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     without it is an error, because executors do not share a machine-local folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.sparkContext.getCheckpointDir()
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        if not current or configured not in current:
+            spark.sparkContext.setCheckpointDir(configured)
         return
-    if spark.sparkContext.getCheckpointDir():
+    if current:
         return
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
