@@ -61,7 +61,8 @@ def outlier_profile(spark, sf):
 ORDER BY score DESC, "docID", "sentenceID" LIMIT 10""")
 def outlier_top10(spark, sf):
     return ou.outlier_top(flagged_rows(spark, sf), KEY).select(
-        *KEY, "name", "section", "sentence", "char_count", "word_count", F.round("anomaly_score", 6).alias("anomaly_score")
+        *KEY, "name", "section", "sentence", "char_count", "word_count",
+        F.round("anomaly_score", 6).alias("anomaly_score"),
     )
 
 

@@ -134,7 +134,8 @@ def text_features(spark, sf):
     )
 
 
-@query("clean_features", """SELECT event_id, CASE WHEN value IS NULL OR isnan(r) OR isinf(r) THEN 0.0 ELSE r END AS cleaned
+@query("clean_features", """SELECT event_id,
+  CASE WHEN value IS NULL OR isnan(r) OR isinf(r) THEN 0.0 ELSE r END AS cleaned
 FROM (SELECT event_id, value, CASE event_type WHEN 'error' THEN CAST('nan' AS DOUBLE)
   WHEN 'view' THEN CAST('inf' AS DOUBLE) WHEN 'signup' THEN CAST('-inf' AS DOUBLE) ELSE value END AS r FROM events)""")
 def clean_features(spark, sf):
@@ -175,7 +176,8 @@ _EMPTY = "CAST(NULL AS DOUBLE)"
 
 @query("overall_stats", f"""WITH {v.SENTENCES},
 counted AS (SELECT name, count(*) AS n FROM sentences GROUP BY name ORDER BY n DESC, name NULLS FIRST LIMIT 10),
-by_section AS (SELECT section, count(*) AS n FROM sentences GROUP BY section ORDER BY n DESC, section NULLS FIRST LIMIT 15)
+by_section AS (
+  SELECT section, count(*) AS n FROM sentences GROUP BY section ORDER BY n DESC, section NULLS FIRST LIMIT 15)
 SELECT 'shape' AS part, 'rows' AS item, CAST(count(*) AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS text FROM sentences
 UNION ALL SELECT 'shape', 'columns', 9.0,
   'docID,sentenceID,section,sentence,name,cik,reportDate,filingDate,sentenceCount'

@@ -20,5 +20,6 @@ def oracle_sql() -> dict:
 def flagship(spark, sf_dir):
     from textlab.plans.retrieval import retrieve
 
-    found = retrieve(v.sentences(spark, sf_dir), v.sections(spark), "What are the main risk factors for the business?", 10)
+    question = "What are the main risk factors for the business?"
+    found = retrieve(v.sentences(spark, sf_dir), v.sections(spark), question, 10)
     return found.select("chunk_id", "company", "section_name", "priority", "char_count", "score")

@@ -69,7 +69,8 @@ def classification_report(spark, sf):
 
 @query("scale_features", f"""WITH {v.DOCUMENT_FEATURES}, {SPLIT.format(table="document_features")},
 fitted AS (SELECT avg(char_count) AS m1, stddev_pop(char_count) AS d1, avg(word_count) AS m2,
-  stddev_pop(word_count) AS d2, avg(avg_word_length) AS m3, stddev_pop(avg_word_length) AS d3 FROM split WHERE NOT is_test)
+  stddev_pop(word_count) AS d2, avg(avg_word_length) AS m3,
+  stddev_pop(avg_word_length) AS d3 FROM split WHERE NOT is_test)
 SELECT doc_id, is_test, round((char_count - m1) / d1, 6) AS char_count, round((word_count - m2) / d2, 6) AS word_count,
   round((avg_word_length - m3) / d3, 6) AS avg_word_length FROM split, fitted""")
 def scale_features(spark, sf):

@@ -120,7 +120,8 @@ def chunks_split(spark, sf):
     return _dated(chunk_rows(spark, sf, 400)).filter("is_split")
 
 
-@query("chunk_stats", f"""WITH {chunk_sql(400)} SELECT count(*) AS n_chunks, CAST(min(char_count) AS BIGINT) AS min_chars,
+@query("chunk_stats", f"""WITH {chunk_sql(400)} SELECT count(*) AS n_chunks,
+  CAST(min(char_count) AS BIGINT) AS min_chars,
   CAST(max(char_count) AS BIGINT) AS max_chars, avg(char_count) AS avg_chars,
   count(*) FILTER (WHERE is_split) AS n_split FROM chunks""")
 def chunk_stats(spark, sf):

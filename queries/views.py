@@ -110,7 +110,8 @@ def with_section_columns(df: DataFrame, dimension: DataFrame) -> DataFrame:
 
 VECTORS = f"""{SECTION_ROWS},
 vectors AS (
-  SELECT 'v' || vec_id AS chunk_id, vec_id, label AS section, 'C' || substr(md5(CAST(vec_id AS VARCHAR)), 1, 1) AS company,
+  SELECT 'v' || vec_id AS chunk_id, vec_id, label AS section,
+         'C' || substr(md5(CAST(vec_id AS VARCHAR)), 1, 1) AS company,
          DATE '2020-01-01' + CAST(vec_id % 365 AS INTEGER) AS "reportDate",
          'vector ' || vec_id || ' of label ' || label AS text, CAST(embedding AS DOUBLE[]) AS embedding,
          coalesce(s.priority, 'unknown') AS priority, coalesce(s.name, 'Section_' || label) AS section_name

@@ -96,7 +96,8 @@ def filing_rows():
         for section in (1, 8, 13, 14):
             for i in range(d + 2):
                 text = ["Risk is high in this market", "1 2 3 4", "NA", "We sell widgets to many customers"][(i + d) % 4]
-                yield (f"doc{d}", i, section, text, name, cik, tickers, day(2020, 1, 1 + d), day(2019, 12, 1 + d), 1, 0, 9)
+                filed, reported = day(2020, 1, 1 + d), day(2019, 12, 1 + d)
+                yield (f"doc{d}", i, section, text, name, cik, tickers, filed, reported, 1, 0, 9)
 
 
 def test_a_whole_filing_table(spark, tmp_path):

@@ -74,6 +74,8 @@ def step_counts(steps: Mapping[str, DataFrame], known: Mapping[str, int] | None
     for other in counted[1:]:
         result = result.unionByName(other)
     if known:
-        pairs = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(n).cast("long").alias("value")) for k, n in known.items()])
+        pairs = F.array(*[
+            F.struct(F.lit(key).alias("key"), F.lit(n).cast("long").alias("value")) for key, n in known.items()
+        ])
         result = result.unionByName(counted[0].select(F.inline(pairs)))
     return result
