@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlab.llm import decontamination, url_filters, warc
+from textlab.llm import decontamination, embedding_links, toxicity, url_filters, warc
 
 RULES = [  # fixed values of the contract
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"),
@@ -74,5 +74,18 @@ fits AS (SELECT parts.*, h || p AS rule, action,
 SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM fits WHERE rank = 1"""
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.train(docs, labels.where(toxicity.fold(F.col("doc_id")) != 0))
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id", F.coalesce(toxicity.fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links.link_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 0.9).select(
+        "vec_id", "n_links", "component_id", "kept")
+
+
 def queries() -> dict:
     return {name: made for name, made in globals().items() if name.startswith("op")}
