@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlab.llm import decontamination, embedding_links, toxicity, url_filters, warc
+from textlab.llm import decontamination, embedding_links, pii, token_files, toxicity, unigram, url_filters, warc
 
 RULES = [  # fixed values of the contract
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"),
@@ -82,6 +83,32 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.stored_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = unigram.load(public_tokenizers.path("piece_bpe_32k.model"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    back = unigram.decode(unigram.encode(docs, model), model)
+    return back.select(
+        "doc_id", F.size("ids").alias("n_pieces"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.col("text")).alias("lossless"))
+
+
+def _only(kind: str):
+    return lambda k: F.when(k == kind, k)
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_pii(docs, pii.train(docs))
+    joined = {c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",") for c in ("base", "spans")}
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [F.size(F.array_compact(F.transform(kinds, _only(k)))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined["base"], 256).alias("base_sha256"), joined["spans"].alias("spans"))
+
+
 def op10_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_links.link_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 0.9).select(
         "vec_id", "n_links", "component_id", "kept")

@@ -150,7 +150,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
 
     # Copies of a sampled id bring rows of their own; the bound holds for them too.
     rows = texts.mapInArrow(extract, "one long, label double, terms array<int>").orderBy(F.xxhash64("terms", "label")).limit(sample)
-    found = rows.groupBy("one").applyInArrow(learn, "bias double, bucket array<long>, w array<float>, v array<float>").collect()
+    found = rows.groupBy("one").applyInArrow(learn, "bias double, bucket array<long>, w array<double>, v array<double>").collect()
     model = {"bias": -6.0, "w": np.zeros(BUCKETS, np.float32), "v": np.zeros((BUCKETS, FACTORS), np.float32), "damping": DAMPING,
              "active": np.zeros(BUCKETS, bool)}
     for row in found:

@@ -85,10 +85,13 @@ class Words:
         return inside, mix(total[inside] + np.uint64(n))
 
 
-def words(column: pa.Array, alphabet: np.ndarray, prefixes: tuple[int, ...] = ()) -> Words:
+def words(column: pa.Array, alphabet: np.ndarray, prefixes: tuple[int, ...] = (), lower: bool = True) -> Words:
     """Maximal runs of ``alphabet`` bytes of every row, A-Z lower-cased."""
     raw, offsets = text_bytes(column)
-    data = LOWER[raw]
+    return words_of_bytes(LOWER[raw] if lower else raw, offsets, alphabet, prefixes)
+
+
+def words_of_bytes(data: np.ndarray, offsets: np.ndarray, alphabet: np.ndarray, prefixes: tuple[int, ...] = ()) -> Words:
     inside = alphabet[data]
     before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
     before[1:], after[:-1] = inside[:-1], inside[1:]
