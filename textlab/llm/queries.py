@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlab.llm import decontamination, embedding_links, pii, token_files, toxicity, unigram, url_filters, warc
+from textlab.llm import decontamination, embedding_links, jaccard_join, pii, token_files, toxicity, unigram, url_filters, warc
 
 RULES = [  # fixed values of the contract
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"),
@@ -44,6 +44,10 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM words LEFT JOIN counts USING (doc_id) LEFT JOIN named USING (doc_id)"""
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), 4, 85)
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.captures(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

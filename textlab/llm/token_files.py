@@ -16,7 +16,8 @@ from textlab.llm.words import BYTE_CODES, mix, powers, slices, text_bytes
 
 END_ID = 2
 SHARD_TOKENS = 1 << 20    # a shard ends with the document that reaches this
-LEAST_COUNT = 24          # pairs of fewer places in a shard get no rule
+LEAST_COUNT = 32          # pairs of fewer places in a shard get no rule
+RANGE = 4                 # pairs down to this part of the most frequent get rules in the same round
 GRAMMAR = 1 << 24         # symbols are stored in three bytes
 SHARDS = (
     "part int, shard int, doc_ids array<bigint>, symbols array<int>, tokens array<bigint>, "
@@ -64,8 +65,8 @@ class Tokenizer:
 def compress(ids: np.ndarray, last: np.ndarray, vocabulary: int, least: int = LEAST_COUNT):
     """Re-Pair: ``(symbols, last, left, right)``; rule r is symbol ``vocabulary + r`` and stands for left[r] right[r].
 
-    Each round counts all neighbours and gives rules to those that are at least half as frequent as the most
-    frequent; places that overlap are taken from the left. ``last`` marks the last id of a document, after which no pair goes on.
+    Each round counts all neighbours and gives rules to the most frequent and those down to a quarter of it;
+    places that overlap are taken from the left. ``last`` marks the last id of a document, after which no pair goes on.
     """
     symbols, left, right = ids.astype(np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     while len(symbols) > 1:
@@ -74,7 +75,7 @@ def compress(ids: np.ndarray, last: np.ndarray, vocabulary: int, least: int = LE
         counts[found < 0] = 0
         if not len(counts) or counts.max() < least or vocabulary + len(left) + len(found) >= GRAMMAR:
             break
-        chosen = found[counts >= max(least, counts.max() // 2)]
+        chosen = found[counts >= max(least, counts.max() // RANGE)]
         at = np.minimum(np.searchsorted(chosen, pairs), len(chosen) - 1)
         places = np.flatnonzero(chosen[at] == pairs)
         # In a run of neighbouring places every second one is taken.
