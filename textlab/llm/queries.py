@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlab.llm import decontamination, embedding_links, jaccard_join, pii, token_files, toxicity, unigram, url_filters, warc
+from textlab.llm import decontamination, embedding_links, jaccard_join, pii, suffix_dedup, token_files, toxicity, unigram, url_filters, warc
 
 RULES = [  # fixed values of the contract
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"),
@@ -79,6 +79,11 @@ fits AS (SELECT parts.*, h || p AS rule, action,
 SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM fits WHERE rank = 1"""
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic")
     model = toxicity.train(docs, labels.where(toxicity.fold(F.col("doc_id")) != 0))
