@@ -90,5 +90,5 @@ def report(spark, sf):
 
 @query("outlier_report_quick")
 def report_quick(spark, sf):
-    rows = v.sentences(spark, sf).withColumn("row", F.col("docID") * 1_000_000 + F.col("sentenceID"))
-    return quick_report(rows, "row")["summary"]
+    rows = v.sentences(spark, sf).withColumn("row", F.col("docID") * (1 << 32) + F.col("sentenceID"))
+    return quick_report(rows, "row", 1 << 62)["summary"]

@@ -65,7 +65,8 @@ def split_stratified(spark, sf):
     return sampling.split_flag(labels, ["quality"], ["doc_id"])
 
 
-def chunk_sql(max_chars: int, where: str = "true") -> str:
+def chunk_sql(max_chars: int, where: str = "true", tail: bool = True) -> str:
+    left = "OR (pos % 2 = 0 AND pos > n - 3 AND pos - 2 <= n - 3 AND pos + 1 < n)" if tail else ""
     return f"""{v.SECTION_ROWS}, {v.SENTENCES},
 kept AS (SELECT * FROM sentences WHERE {where}),
 placed AS (
@@ -76,7 +77,7 @@ placed AS (
   FROM kept WINDOW g AS (PARTITION BY "docID", section ORDER BY "sentenceID", sentence)),
 heads AS (
   SELECT *, concat_ws(' ', s1, s2, s3) AS joined FROM placed
-  WHERE (pos % 2 = 0 AND pos <= n - 3) OR (pos = 0 AND n < 3)),
+  WHERE (pos % 2 = 0 AND pos <= n - 3) OR (pos = 0 AND n < 3) {left}),
 second AS (
   SELECT *, n >= 3 AND length(joined) > {max_chars} AS cut,
          length(s1) + length(s2) < {max_chars} AS fits2 FROM heads),
@@ -85,8 +86,8 @@ third AS (
          CASE WHEN fits2 OR s1 = '' THEN CAST([] AS VARCHAR[]) ELSE [s1] END AS done2 FROM second),
 fourth AS (SELECT *, length(cur2) + length(s3) < {max_chars} AS fits3 FROM third),
 packed AS (
-  SELECT *, CASE WHEN NOT fits3 THEN s3 WHEN cur2 = '' THEN s3 ELSE cur2 || ' ' || s3 END AS cur3,
-         CASE WHEN fits3 OR cur2 = '' THEN done2 ELSE list_append(done2, cur2) END AS done3 FROM fourth),
+  SELECT *, CASE WHEN s3 IS NULL THEN cur2 WHEN NOT fits3 THEN s3 WHEN cur2 = '' THEN s3 ELSE cur2 || ' ' || s3 END AS cur3,
+         CASE WHEN s3 IS NULL OR fits3 OR cur2 = '' THEN done2 ELSE list_append(done2, cur2) END AS done3 FROM fourth),
 parts AS (
   SELECT *, CASE WHEN NOT cut THEN [joined] WHEN cur3 = '' THEN done3 ELSE list_append(done3, cur3) END AS texts
   FROM packed),
@@ -96,14 +97,14 @@ chunks AS (
            || CASE WHEN cut THEN '_part' || j ELSE '' END AS chunk_id,
          texts[j + 1] AS text, "docID", p.section, coalesce(s.name, 'Section_' || p.section) AS section_name,
          first_name AS company, CAST(first_date AS VARCHAR) AS report_date, first_cik AS cik,
-         coalesce(s.priority, 'unknown') AS priority, CAST(least(n, 3) AS INTEGER) AS n_sentences,
+         coalesce(s.priority, 'unknown') AS priority, CAST(least(n - pos, 3) AS INTEGER) AS n_sentences,
          CAST(length(texts[j + 1]) AS INTEGER) AS char_count, CASE WHEN n >= 3 THEN cut END AS is_split
   FROM (SELECT *, unnest(range(len(texts))) AS j FROM parts) p LEFT JOIN sections s ON s.section = p.section)"""
 
 
-def chunk_rows(spark, sf, max_chars=2000):
+def chunk_rows(spark, sf, max_chars=2000, **options):
     dimension = v.sections(spark)
-    return chunking.chunks(with_priority(v.sentences(spark, sf), dimension), dimension, max_chars=max_chars)
+    return chunking.chunks(with_priority(v.sentences(spark, sf), dimension), dimension, max_chars=max_chars, **options)
 
 
 def _dated(df):
@@ -115,6 +116,11 @@ def chunks(spark, sf):
     return _dated(chunk_rows(spark, sf))
 
 
+@query("chunks_full_windows", f"WITH {chunk_sql(2000, tail=False)} SELECT * FROM chunks")
+def chunks_full_windows(spark, sf):
+    return _dated(chunk_rows(spark, sf, keep_tail=False))
+
+
 @query("chunks_split", f"WITH {chunk_sql(400)} SELECT * FROM chunks WHERE is_split")
 def chunks_split(spark, sf):
     return _dated(chunk_rows(spark, sf, 400)).filter("is_split")

@@ -24,7 +24,7 @@ def run(spark, groups, **options):
     return {r.chunk_id: r for r in made.collect()}
 
 
-def expected(groups, w=3, stride=2, limit=2000):
+def expected(groups, w=3, stride=2, limit=2000, keep_tail=True):
     """Plain restatement of the rules."""
     out = {}
     for (doc, section), texts in groups.items():
@@ -32,7 +32,10 @@ def expected(groups, w=3, stride=2, limit=2000):
         if len(texts) < w:
             out[f"{base}_full"] = (" ".join(texts), None)
             continue
-        for start in range(0, len(texts) - w + 1, stride):
+        starts = list(range(0, len(texts) - w + 1, stride))
+        if keep_tail and starts[-1] + w < len(texts) and starts[-1] + stride < len(texts):
+            starts.append(starts[-1] + stride)
+        for start in starts:
             part = texts[start:start + w]
             joined = " ".join(part)
             if len(joined) <= limit:
@@ -69,8 +72,10 @@ def test_five_sentences(spark):
     assert got["d_sec1_chunk2"].company == "co0"
 
 
-def test_tail_is_in_no_chunk(spark):
-    assert {r.text for r in run(spark, {("d", 1): list("ABCD")}).values()} == {"A B C"}
+def test_tail(spark):
+    groups = {("d", 1): list("ABCD")}
+    assert {r.text: r.n_sentences for r in run(spark, groups).values()} == {"A B C": 3, "C D": 2}
+    assert {r.text for r in run(spark, groups, keep_tail=False).values()} == {"A B C"}
 
 
 def test_short_group_is_never_split(spark):
@@ -135,3 +140,12 @@ def test_enrich(spark):
     assert enrich(rows, section_dimension(spark), sample_size=1).count() == 1
     assert enrich(rows, section_dimension(spark), min_tokens=1).filter(F.col("section") == 55).first()[
         "section_priority"] == "unknown"
+
+
+@pytest.mark.parametrize("hot_rows", [None, 4])
+def test_every_sentence_is_in_a_chunk(spark, hot_rows):
+    groups = {(f"d{n}", 1): [f"s{n}x{i}e" for i in range(n)] for n in range(1, 14)}
+    made = run(spark, groups, hot_rows=hot_rows)
+    held = " ".join(r.text for r in made.values())
+    assert all(text in held for texts in groups.values() for text in texts)
+    assert {k: (r.text, r.is_split) for k, r in made.items()} == expected(groups)

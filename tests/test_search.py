@@ -161,6 +161,11 @@ def test_vector_table_life(spark):
     assert {tuple(r) for r in vt.list_tables(spark, "vectors_test").collect()} == {("t1", 16)}
     assert [r.chunk_id for r in vt.first_rows(table.read(), "chunk_id", 2).collect()] == ["v001", "v002"]
     wider, _ = vectors(spark, 5, dim=8)
+    stored = table.read().count()
+    with pytest.raises(ValueError, match="dimension 16, not 8"):
+        table.upsert(wider.withColumn("_seq", F.lit(1)), "_seq")
+    assert table.read().count() == stored
+    assert table.ensure(wider.schema, 8, recreate=True)
     table.upsert(wider.withColumn("_seq", F.lit(1)), "_seq")
     assert tuple(vt.vector_stats(table.read()).first()) == (5, 8, 8, "cosine")
     mixed = wider.unionByName(df).withColumn("_seq", F.lit(1))

@@ -14,7 +14,14 @@ from textlab.operators.sizing import small_side
 META = ["name", "reportDate", "cik", "section_priority"]
 
 
-def _windows(df: DataFrame, keys: list[str], order: list[str], text: str, w: int, stride: int) -> DataFrame:
+def _is_tail(pos: Column, n: Column, w: int, stride: int) -> Column:
+    """The window start after the last full window of a group, if sentences are left for it."""
+    return (pos % stride == 0) & (pos > n - w) & (pos - stride <= n - w) & (pos - stride + w < n)
+
+
+def _windows(
+    df: DataFrame, keys: list[str], order: list[str], text: str, w: int, stride: int, keep_tail: bool
+) -> DataFrame:
     """Chunks of ordinary groups by one shuffle: each kept row leads a chunk and looks ahead."""
     group = Window.partitionBy(*keys)
     ordered = group.orderBy(*order)
@@ -30,16 +37,16 @@ def _windows(df: DataFrame, keys: list[str], order: list[str], text: str, w: int
             *[F.first(m).over(whole).alias(m) for m in META],
         )
         .withColumn("_pos", F.col("_rank") - 1)
-        .filter(((pos % stride == 0) & (pos <= n - w)) | ((pos == 0) & (n < w)))
+        .filter(((pos % stride == 0) & (pos <= n - w)) | ((pos == 0) & (n < w)) | (F.lit(keep_tail) & _is_tail(pos, n, w, stride)))
         .select(
             *keys, *META, pos.alias("_start"), n,
-            F.slice("_ahead", 1, F.least(n, F.lit(w)).cast("int")).alias("_texts"),
+            F.slice("_ahead", 1, F.least(n - pos, F.lit(w)).cast("int")).alias("_texts"),
         )
     )
 
 
 def _windows_of_hot(
-    df: DataFrame, keys: list[str], order: list[str], text: str, w: int, stride: int, blocks: int
+    df: DataFrame, keys: list[str], order: list[str], text: str, w: int, stride: int, blocks: int, keep_tail: bool
 ) -> DataFrame:
     """Chunks of groups too large for one task: rank in blocks, send each row to its chunks."""
     placed = blocked_positions(df, keys, order, blocks)
@@ -50,7 +57,7 @@ def _windows_of_hot(
             F.sequence(F.lit(0), F.lit((w - 1) // stride)),
             lambda i: (F.floor(pos / stride).cast("long") - i) * stride,
         ),
-        lambda s: (s >= 0) & (s > pos - w) & (s <= last_start),
+        lambda s: (s >= 0) & (s > pos - w) & ((s <= last_start) | (F.lit(keep_tail) & _is_tail(s, n, w, stride))),
     )
     gathered = (
         placed.select(*keys, n, pos, text, F.explode(starts).alias("_start"))
@@ -89,22 +96,24 @@ def chunks(
     stride: int = 2,
     max_chars: int = 2000,
     hot_rows: int | None = HOT_ROWS,
+    keep_tail: bool = True,
 ) -> DataFrame:
     """One row per chunk of each ``(docID, section)`` group.
 
     Groups of fewer than ``w`` sentences are one chunk; otherwise windows of ``w`` start at 0,
-    ``stride``, ... up to the last full window, so sentences after it are in no chunk. Equal order
+    ``stride``, ... up to the last full window. Sentences after it make a shorter chunk of their own;
+    without ``keep_tail`` they are in no chunk. Equal order
     values are ordered by text. Groups above ``hot_rows`` rows are spread over tasks; ``None`` skips
     that check for inputs whose groups are known to be small.
     """
     keys, by = ["docID", "section"], [*order, text]
     hot = hot_groups(df, keys, hot_rows) if hot_rows else None
     if hot is None:
-        windows = _windows(df, keys, by, text, w, stride)
+        windows = _windows(df, keys, by, text, w, stride, keep_tail)
     else:
         ordinary, large = split_hot(df, keys, hot)
-        windows = _windows(ordinary, keys, by, text, w, stride).unionByName(
-            _windows_of_hot(large, keys, by, text, w, stride, block_count(df, hot, hot_rows))
+        windows = _windows(ordinary, keys, by, text, w, stride, keep_tail).unionByName(
+            _windows_of_hot(large, keys, by, text, w, stride, block_count(df, hot, hot_rows), keep_tail)
         )
     return _chunk_records(windows, sections, w, max_chars)
 
@@ -121,6 +130,7 @@ def _chunk_records(windows: DataFrame, sections: DataFrame, w: int, max_chars: i
     built = (
         windows.withColumn("text", F.array_join("_texts", " "))
         .withColumn("char_count", F.length("text"))
+        .withColumn("_size", F.size("_texts"))
         .withColumn("_split", ~whole & too_long)
         .withColumn("_parts", F.when(F.col("_split"), pack(F.col("_texts"), max_chars)).otherwise(F.array("text")))
         .drop("text", "char_count", "_texts")
@@ -135,7 +145,7 @@ def _chunk_records(windows: DataFrame, sections: DataFrame, w: int, max_chars: i
         F.col("name").alias("company"),
         "reportDate", "cik",
         F.col("section_priority").alias("priority"),
-        F.least("_n", F.lit(w)).cast("int").alias("n_sentences"),
+        F.col("_size").cast("int").alias("n_sentences"),
         F.length("text").alias("char_count"),
         F.when(~whole, F.col("_split")).alias("is_split"),
     )

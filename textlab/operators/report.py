@@ -46,14 +46,18 @@ def ab_summary(
     df: DataFrame, test: str = "test", engine: str = "engine", ms: str = "ms",
     baseline: str = "base", candidate: str = "cand",
 ) -> DataFrame:
-    """Per test: both times, speedup of the candidate, winner; equal times go to the baseline."""
+    """Per test: both times, speedup of the candidate, winner; equal times go to the baseline.
+
+    A side without a time stays null, and such a test has no winner.
+    """
 
     def total(name: str):
-        return F.coalesce(F.sum(F.when(F.col(engine) == name, F.col(ms))), F.lit(0.0))
+        return F.sum(F.when(F.col(engine) == name, F.col(ms)))
 
     times = df.groupBy(test).agg(total(baseline).alias("baseline_ms"), total(candidate).alias("candidate_ms"))
     return times.withColumn("speedup", F.try_divide("baseline_ms", "candidate_ms")).withColumn(
-        "winner", F.when(F.col("candidate_ms") < F.col("baseline_ms"), F.lit(candidate)).otherwise(F.lit(baseline))
+        "winner", F.when(F.col("candidate_ms") < F.col("baseline_ms"), F.lit(candidate))
+        .when(F.col("candidate_ms") >= F.col("baseline_ms"), F.lit(baseline))
     )
 
 

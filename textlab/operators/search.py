@@ -109,6 +109,8 @@ def _best_per_task(
         ids = asked.column(0)
         if len(ids) == 0:
             return
+        if asked.column(1).null_count or len(set(len(q) for q in asked.column(1).to_pylist())) > 1:
+            raise ValueError("query vectors are null or of different lengths")
         matrix = np.vstack(asked.column(1).to_pylist()).astype(np.float64)
         kept, cut = None, np.full(len(ids), -np.inf)
         step = max(1, at_once // len(ids))
@@ -117,6 +119,8 @@ def _best_per_task(
             piece = piece.filter(pc.is_valid(piece.column(1)))
             if piece.num_rows == 0:
                 continue
+            if piece.column(1).flatten().null_count or set(pc.unique(pc.list_value_length(piece.column(1))).to_pylist()) != {matrix.shape[1]}:
+                raise ValueError(f"a stored vector does not have {matrix.shape[1]} entries, or one of them is null")
             block = np.asarray(piece.column(1).flatten(), dtype=np.float64).reshape(piece.num_rows, -1)
             scores = matrix @ block.T
             best = min(k, scores.shape[1])

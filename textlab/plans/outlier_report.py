@@ -14,9 +14,6 @@ from textlab.operators.outliers import (
 )
 from textlab.session import ensure_checkpoint_dir
 
-SMALL_HEAD = 1_000
-
-
 def outlier_report(
     df: DataFrame,
     key: Sequence[str],
@@ -53,10 +50,11 @@ def outlier_report(
 
 
 def first_by_key(df: DataFrame, key: str, n: int) -> DataFrame:
-    """The first ``n`` rows by a unique numeric key. Beyond a small ``n`` the ``n``-th key is found
-    first and the rows are only filtered."""
-    if n <= SMALL_HEAD:
-        return df.orderBy(key).limit(n)
+    """The first ``n`` rows by a unique numeric key: the ``n``-th key is found and the rows are only
+    filtered. Rows with a null key come in no order and are left out."""
+    df = df.filter(F.col(key).isNotNull())
+    if n < 1:
+        return df.limit(0)
     total = df.count()
     if total <= n:
         return df
@@ -64,7 +62,7 @@ def first_by_key(df: DataFrame, key: str, n: int) -> DataFrame:
 
 
 def quick_report(
-    df: DataFrame, key: str, n: int = 50_000, text: str = "sentence", contamination: float = 0.02, **options
+    df: DataFrame, key: str, n: int, text: str = "sentence", contamination: float = 0.02, **options
 ) -> dict[str, DataFrame]:
     """The same report over the first ``n`` rows."""
     return outlier_report(first_by_key(df, key, n), [key], text, contamination, **options)

@@ -100,11 +100,18 @@ QUALITY_LABELS = {
 
 
 def section_dimension(spark: SparkSession) -> DataFrame:
-    """The section dimension as a DataFrame (15 rows, fixed)."""
-    import pandas as pd
-
-    columns = ["section", "name", "priority", "note"]
-    return spark.createDataFrame(pd.DataFrame(SECTIONS, columns=columns), SECTION_SCHEMA)
+    """The section dimension as a DataFrame (15 rows, fixed).
+
+    Inline values have a known size, so lookups broadcast them in every session.
+    """
+    def literal(value):
+        return "NULL" if value is None else str(value) if isinstance(value, int) else "'" + value.replace("'", "\\'") + "'"
+
+    schema = T.StructType.fromDDL(SECTION_SCHEMA)
+    rows = ", ".join("(" + ", ".join(map(literal, row)) + ")" for row in SECTIONS)
+    columns = [F.col(f.name).cast(f.dataType) for f in schema.fields]
+    names = ", ".join(schema.fieldNames())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t({names})").select(*columns)
 
 
 def check_schema(df: DataFrame, expected: T.StructType) -> DataFrame:

@@ -75,13 +75,21 @@ class VectorTable:
 
     def dimension(self) -> int | None:
         """The dimension of the stored vectors; None when nothing is stored."""
-        row = self.read().select(F.size(self.vector)).first() if self.exists() else None
+        sized = F.col(self.vector).isNotNull()
+        row = self.read().where(sized).select(F.size(self.vector)).first() if self.exists() else None
         return row[0] if row else None
 
-    def ensure(self, schema: T.StructType, dim: int) -> bool:
-        """Keep a table whose vectors have ``dim`` entries; otherwise start an empty one. True if new."""
-        if self.exists() and self.dimension() in (None, dim):
-            return False
+    def ensure(self, schema: T.StructType, dim: int, recreate: bool = False) -> bool:
+        """Keep a table whose vectors have ``dim`` entries; create a missing one. True if new.
+
+        A table of another dimension is an error; only ``recreate`` drops it with all its rows.
+        """
+        if self.exists():
+            stored = self.dimension()
+            if stored in (None, dim):
+                return False
+            if not recreate:
+                raise ValueError(f"{self.name} holds vectors of dimension {stored}, not {dim}")
         self.drop()
         self._replace(self.spark.createDataFrame([], schema))
         return True
@@ -91,7 +99,8 @@ class VectorTable:
 
         All vectors must have one dimension; ``seq`` orders the batch and is not stored.
         """
-        low, high = updates.agg(F.min(F.size(self.vector)), F.max(F.size(self.vector))).first()
+        sizes = F.when(F.col(self.vector).isNotNull(), F.size(self.vector))
+        low, high = updates.agg(F.min(sizes), F.max(sizes)).first()
         if low is None:
             return
         if low != high:
