@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textlab.llm.staging import staged
+from textlab.llm.staging import set_aside, staged
 from textlab.llm.words import ALPHANUMERIC, slices, words
 
 N = 10
@@ -143,14 +143,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, action: str = "drop", n
     """``docs`` without contaminated documents (``drop``) or without their hit spans (``spans``); columns stay as they were."""
     if action not in ("drop", "spans"):
         raise ValueError("action is drop or spans")
-    found = find_contamination(docs, benchmark, n)
+    aside, columns = set_aside(docs, HITS)
+    found = find_contamination(aside, benchmark, n)
     if action == "drop":
-        return found.where("n_hit = 0").select(*docs.columns)
+        return found.where("n_hit = 0").select(*columns)
 
     def cut(batches):
         for batch in batches:
             texts = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+            for text, spans in zip(batch.column("text").to_pylist(), batch.column("_cut").to_pylist()):
                 if spans:
                     raw = text.encode()
                     bounds = [0, *[x for s in spans for x in (s["start"], s["end"])], len(raw)]
@@ -158,8 +159,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, action: str = "drop", n
                 texts.append(text)
             place = batch.schema.get_field_index("text")
             out = batch.set_column(place, "text", pa.array(texts, pa.string()))
-            yield out.select([c for c in out.schema.names if c != "spans"])
+            yield out.select([c for c in out.schema.names if c != "_cut"])
 
-    kept = found.select(*docs.columns, "spans")
+    kept = found.select(*columns, F.col("spans").alias("_cut"))
     return kept.mapInArrow(cut, docs.withColumn("text", F.col("text").cast("string")).schema)
 

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textlab.llm.staging import set_aside
+
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = "A-Za-z0-9._%+-"
 # The patterns of the contract. Possessive repeats and the look-behind only spare starts inside a run that must fail as its first did.
@@ -353,13 +355,14 @@ def find_pii(docs: DataFrame, model: SemiMarkov) -> DataFrame:
 
 
 def redact(docs: DataFrame, model: SemiMarkov) -> DataFrame:
-    """``docs`` with every span of a text replaced by its kind in brackets; spans that overlap become one, named after the first."""
-    found = find_pii(docs, model)
+    """``docs`` with every span of a text replaced by its kind in brackets; spans that overlap become one, named after the first. All columns stay."""
+    aside, columns = set_aside(docs, ("base", "spans"))
+    found = find_pii(aside, model).select(*columns, F.col("spans").alias("_found"))
 
     def run(batches):
         for batch in batches:
             texts = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+            for text, spans in zip(batch.column("text").to_pylist(), batch.column("_found").to_pylist()):
                 if spans:
                     parts, at = [], 0
                     for s in sorted(spans, key=lambda s: (s["start"], -s["end"])):
@@ -370,6 +373,6 @@ def redact(docs: DataFrame, model: SemiMarkov) -> DataFrame:
                 texts.append(text)
             place = batch.schema.get_field_index("text")
             out = batch.set_column(place, "text", pa.array(texts, pa.string()))
-            yield out.select([n for n in out.schema.names if n != "spans"])
+            yield out.select([n for n in out.schema.names if n != "_found"])
 
-    return found.drop("base").mapInArrow(run, docs.withColumn("text", F.col("text").cast("string")).schema)
+    return found.mapInArrow(run, docs.withColumn("text", F.col("text").cast("string")).schema)

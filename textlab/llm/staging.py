@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -23,3 +25,10 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def set_aside(df: DataFrame, names: Iterable[str]) -> tuple[DataFrame, list[Column]]:
+    """``df`` with its columns of these names renamed, and what selects all its columns under their own names again."""
+    names = set(names)
+    own = {c: f"_own_{c}" for c in df.columns if c in names}
+    return df.withColumnsRenamed(own), [F.col(f"`{own.get(c, c)}`").alias(c) for c in df.columns]

@@ -18,6 +18,7 @@ CHI_SQUARED = 20.0        # terms that tell less about the label get no weight e
 EPOCHS, BATCH, RATE, PENALTY = 12, 256, 0.02, 2e-4
 DAMPING = 0.5             # terms count by the number of a document's terms to minus half this power
 SEED = 11
+MODEL = pa.schema([("bias", pa.float64()), ("bucket", pa.list_(pa.int64())), ("w", pa.list_(pa.float64())), ("v", pa.list_(pa.float64()))])
 
 
 def terms(part: pa.RecordBatch, active: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -146,7 +147,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
         model = fit(np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]), lists.flatten().to_numpy().astype(np.int64),
                     table.column("label").to_numpy()[order])
         used = np.flatnonzero(model["active"])
-        return pa.table({"bias": [model["bias"]], "bucket": [used.tolist()], "w": [model["w"][used].tolist()], "v": [model["v"][used].ravel().tolist()]})
+        return pa.table({"bias": [model["bias"]], "bucket": [used.tolist()], "w": [model["w"][used].tolist()], "v": [model["v"][used].ravel().tolist()]}, schema=MODEL)
 
     # Copies of a sampled id bring rows of their own; the bound holds for them too.
     rows = texts.mapInArrow(extract, "one long, label double, terms array<int>").orderBy(F.xxhash64("terms", "label")).limit(sample)
