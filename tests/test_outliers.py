@@ -103,3 +103,11 @@ def test_first_rows_and_quick_report(spark):
     assert first_by_key(df, "id", 10).count() == 10
     assert first_by_key(df, "id", 9999).count() == 3001
     assert quick_report(df, "id", 1500, trees=10, psi=32)["summary"].first()["total_sentences"] == 1500
+
+
+@pytest.mark.parametrize("rows", [0, 3, 39, 40, 41, 500])
+def test_every_tree_gets_its_rows(spark, rows):
+    """One rule on both sides of trees * psi rows."""
+    df = spark.range(rows).select("id", F.col("id").cast("double").alias("x"))
+    nodes = forest.fit_isolation_forest(df, ["x"], ["id"], trees=5, psi=8).nodes
+    assert nodes[nodes["node"] == 0]["size"].tolist() == [min(rows, 8)] * (5 if rows else 0)

@@ -28,6 +28,9 @@ def test_the_configured_folder_wins(master):
     fake.sparkContext.current = "hdfs:/shared/run-1"
     session.ensure_checkpoint_dir(fake)
     assert fake.sparkContext.current == "hdfs:/shared/run-1"
+    other = FakeSession(master, "/ck", "file:/ck2/run-1")
+    session.ensure_checkpoint_dir(other)
+    assert other.sparkContext.current == "/ck"
 
 
 def test_no_local_folder_on_a_cluster():

@@ -106,6 +106,31 @@ def test_wine_csv(spark, tmp_path):
         files.read_csv(spark, str(path))
 
 
+def test_csv_files_with_other_headers(spark, tmp_path):
+    values = {**sample(), "quality": 5, "Id": 0}
+    for name, columns in (("a.csv", list(values)), ("b.csv", list(values)[::-1])):
+        (tmp_path / name).write_text("\n".join([",".join(columns), ",".join(str(values[c]) for c in columns)]))
+    (tmp_path / "c.csv").write_text("\n".join([",".join(values), ",".join("x" if c == "quality" else str(v) for c, v in values.items())]))
+    rows = files.read_csv(spark, str(tmp_path), rejects="bad").collect()
+    assert [r.pH for r in rows] == [3.51] * 3
+    assert sorted((r.quality or 0, r.bad is None) for r in rows) == [(0, False), (5, True), (5, True)]
+
+
+def test_requests_that_cannot_be_read(spark, tmp_path):
+    for name, text in (("x/req.json", {"wines": [sample()]}), ("y/req.json", {"wines": [sample(), sample()]}), ("z/none.json", {"wines": None}), ("z/empty.json", {"wines": []})):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(json.dumps(text))
+    (tmp_path / "z/cut.json").write_text('{"wines": [{"alcohol": 9')
+    df = files.read_requests(spark, f"{tmp_path}/*/*.json")
+    rows = df.collect()
+    assert len({r.batch_id for r in rows}) == 5
+    assert sorted((r.batch_id[-10:], r.position, r.problem) for r in rows if r.problem is None) == [("x/req.json", 0, None), ("y/req.json", 0, None), ("y/req.json", 1, None)]
+    model = classify.train_classifier(wine(spark), WINE_FEATURES, "quality", trees=5)
+    _, summary, rejected = validate_and_score(model, df, REQUEST_RULES)
+    assert summary.count() == 2
+    assert sorted(r.problem for r in rejected.collect()) == ["malformed file", "no records", "no records"]
+
+
 def test_distribution_and_accuracy(spark):
     df = spark.createDataFrame([(5, 5), (3, 5), (5, None)], "y int, p int")
     assert [tuple(r) for r in classify.label_distribution(df, "y").collect()] == [(3, 1), (5, 2)]

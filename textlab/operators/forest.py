@@ -100,25 +100,24 @@ def fit_isolation_forest(
 ) -> IsolationForest:
     """Fit ``trees`` trees of up to ``psi`` rows each.
 
-    A common exact sample of ``trees * psi`` rows is dealt out to the trees, so the work after it
-    does not depend on the size of ``df``. Of fewer rows every tree draws its own ``psi``. Rows are
-    chosen by hashes of ``key``.
+    An exact sample of up to ``trees * psi`` rows is put in a random order and dealt out in turn, from the
+    start again whenever it ends: no row comes twice to a tree, and trees share rows only where there
+    are fewer rows than they need. Rows are chosen by hashes of ``key``; the work after the sample does not
+    depend on the size of ``df``.
     """
     features = list(features)
     wanted = trees * psi
     pool = bounded_rows(sample_n(df.select(*key, *features), wanted, key, seed), wanted)
     if pool is None:
         raise ValueError(f"{list(key)} does not identify rows")
-    if pool.count() == wanted:
-        deal = F.row_number().over(Window.orderBy(F.xxhash64(*key, F.lit(seed)), *key)) - 1
-        drawn = pool.withColumn("_nth", deal).withColumn("tree", F.col("_nth") % trees)
-    else:
-        draw = F.xxhash64(*key, F.col("tree"), F.lit(seed))
-        drawn = (
-            pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-            .withColumn("_nth", F.row_number().over(Window.partitionBy("tree").orderBy(draw, *key)))
-            .filter(F.col("_nth") <= psi)
-        )
+    n = pool.count()
+    size = min(psi, n)
+    # One window over a sample of bounded size.
+    order = F.row_number().over(Window.orderBy(F.xxhash64(*key, F.lit(seed)), *key)).cast("long") - 1
+    dealt = F.expr(f"sequence(_at, {trees * size - 1}L, {n}L)") if n else F.array().cast("array<bigint>")
+    drawn = pool.withColumn("_at", order).withColumn("_at", F.explode(dealt)).withColumns({
+        "tree": F.floor(F.col("_at") / max(size, 1)).cast("int"), "_nth": F.col("_at") % max(size, 1),
+    })
     draws = drawn.select("tree", "_nth", *[F.col(f).cast("double").alias(f) for f in features])
     table = average_path_table(psi)
     height = _height(psi)

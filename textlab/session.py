@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -33,7 +34,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if configured:
-        if not current or configured not in current:
+        if not current or _plain(configured) not in (_plain(current), _plain(current).rpartition("/")[0]):
             spark.sparkContext.setCheckpointDir(configured)
         return
     if current:
@@ -41,3 +42,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="textlab-checkpoint-"))
+
+
+def _plain(path: str) -> str:
+    """A path without its scheme and closing slash."""
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/", path).rstrip("/")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,18 +28,37 @@ def spread(df: DataFrame, *key: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *key)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType = WINE_TABLE) -> DataFrame:
-    """CSV with a header in any column order; the header must hold exactly the declared columns."""
-    header = spark.read.option("header", True).csv(path).columns
-    missing = [f.name for f in schema.fields if f.name.lower() not in {_plain(h).lower() for h in header}]
-    if missing:
-        raise ValueError(f"columns missing in {path}: {missing}")
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType = WINE_TABLE, rejects: str | None = None
+) -> DataFrame:
+    """CSV files with headers, each in its own column order; a header must hold the declared columns.
+
+    A value that does not parse is null; ``rejects`` names a column that holds the line of such a row.
+    """
     declared = {f.name.lower(): f for f in schema.fields}
-    in_file_order = T.StructType([
-        declared.get(_plain(h).lower(), T.StructField(h, T.StringType())) for h in header
-    ])
-    df = spark.read.schema(in_file_order).option("header", True).option("enforceSchema", True).csv(path)
-    return df.select(*[f.name for f in schema.fields])
+    extra = [T.StructField(rejects, T.StringType())] if rejects else []
+    parts = []
+    for header, paths in _headers(spark, path):
+        missing = [f.name for f in schema.fields if f.name.lower() not in {_plain(h).lower() for h in header}]
+        if missing:
+            raise ValueError(f"columns missing in {paths[0]}: {missing}")
+        in_file_order = [declared.get(_plain(h).lower(), T.StructField(h, T.StringType())) for h in header]
+        reader = spark.read.schema(T.StructType(in_file_order + extra)).option("header", True).option("enforceSchema", True)
+        if rejects:
+            reader = reader.option("columnNameOfCorruptRecord", rejects)
+        parts.append(reader.csv(paths).select(*[f.name for f in schema.fields + extra]))
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], T.StructType(schema.fields + extra))
+
+
+def _headers(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
+    """(column names, files) for every different first line of the files below ``path``."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value",
+        F.monotonically_increasing_id().alias("at"),
+    ).where("start = 0")
+    firsts = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    found = firsts.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    return [(next(csv.reader([row["header"]])), row["files"]) for row in found]
 
 
 def _plain(name: str) -> str:
@@ -45,11 +67,20 @@ def _plain(name: str) -> str:
 
 
 def read_requests(spark: SparkSession, path: str) -> DataFrame:
-    """Scoring requests ``{"wines": [...]}``: one row per record, with the file and its place in it."""
-    files = spark.read.schema(WINE_REQUEST).option("multiLine", True).json(path)
-    return files.select(
-        F.col("_metadata.file_name").alias("batch_id"), F.posexplode("wines").alias("position", "wine")
-    ).select("batch_id", F.col("position").cast("long").alias("position"), "wine.*")
+    """Scoring requests ``{"wines": [...]}``: one row per record, with the path of its file and its place in it.
+
+    A file that is no JSON or has no records gives one row without a record, whose ``problem`` says so;
+    range validation rejects it.
+    """
+    schema = T.StructType([*WINE_REQUEST.fields, T.StructField("_corrupt", T.StringType())])
+    requests = spark.read.schema(schema).option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt").json(path)
+    problem = F.when(F.col("_corrupt").isNotNull(), F.lit("malformed file")).when(
+        F.coalesce(F.size("wines"), F.lit(0)) <= 0, F.lit("no records")
+    )
+    return requests.select(
+        F.col("_metadata.file_path").alias("batch_id"), problem.alias("problem"),
+        F.posexplode_outer("wines").alias("position", "wine"),
+    ).select("batch_id", F.col("position").cast("long").alias("position"), "wine.*", "problem")
 
 
 def write_json(df: DataFrame, path: str) -> None:
