@@ -124,7 +124,7 @@ def _least_overlap(a: Column, b: Column, percent: int) -> Column:
 
 
 def prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """``token, key, n, shared, level, reach``: the postings of every set that can have a link.
+    """``token, key, n, shared, at, level, reach``: the postings of every set that can have a link.
 
     Shingles are ordered by the number of sets that hold them, then by hash. Those of one set alone take up part of
     what a partner may lack; what is left over and ``l`` more are the l-prefix, and linked sets share l of their l-prefixes.
@@ -144,7 +144,7 @@ def prefixes(sets: DataFrame, percent: int) -> DataFrame:
         costs.append(F.when(possible, F.struct((read + read / level * F.col("n")).alias("cost"), F.lit(level).alias("level"))))
     chosen = F.coalesce(F.array_min(F.array_compact(F.array(*costs)))["level"], F.lit(1))
     spots = lists.withColumn("reach", chosen).select("key", "n", "shared", "left", "reach", F.posexplode("list").alias("at", "entry"))
-    return spots.select("key", "n", "shared", "reach", F.col("entry.token").alias("token"), F.greatest(F.lit(1), F.col("at") - F.col("left") + 1).cast("int").alias("level"))
+    return spots.select("key", "n", "shared", "reach", "at", F.col("entry.token").alias("token"), F.greatest(F.lit(1), F.col("at") - F.col("left") + 1).cast("int").alias("level"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -160,7 +160,8 @@ def set_links(sets: DataFrame, percent: int) -> DataFrame:
 
     Every posting's set is first compared with the most central set of the shingle, the one with the smallest part of its own
     alone. Pairs of sets that this leaves in different components are candidates if they share as many prefix shingles as
-    the prefix of the smaller key reaches; pairs of one component need no comparison, as the answer would change nothing.
+    the prefix of the smaller key reaches; pairs of one component need no comparison, as the answer would change nothing. A shared
+    shingle counts only where its places in both lists leave room for the overlap that a link needs.
     """
     postings = staged(prefixes(sets, percent), "prefixes")
     central = F.struct((1 - F.col("shared") / F.col("n")).alias("alone"), "key", "n", "shared")
@@ -175,9 +176,11 @@ def set_links(sets: DataFrame, percent: int) -> DataFrame:
     open_ = staged(labelled.join(mixed, "token"), "open")
     x, y = open_.alias("x"), open_.alias("y")
     need = _least_overlap(F.col("x.n"), F.col("y.n"), percent)
+    # What two sets can share: all before the nearer place of a common shingle, and all from it on in the shorter rest.
+    possible = F.least("x.at", "y.at") + F.least(F.col("x.shared") - F.col("x.at"), F.col("y.shared") - F.col("y.at"))
     met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.key") < F.col("y.key")) & (F.col("x.component") != F.col("y.component"))
                  & (F.col("x.level") <= F.col("x.reach")) & (F.col("y.level") <= F.col("x.reach"))
-                 & (F.least("x.shared", "y.shared") >= need) & (F.least("x.n", "y.n") >= need))
+                 & (F.least("x.shared", "y.shared") >= need) & (F.least("x.n", "y.n") >= need) & (possible >= need))
     candidates = met.groupBy(F.col("x.key").alias("a"), F.col("y.key").alias("b")).agg(F.count("*").alias("c"), F.first("x.reach").alias("reach")).where("c >= reach")
     return edges.unionByName(verified(candidates.select("a", "b"), sets, percent))
 
