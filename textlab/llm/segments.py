@@ -33,7 +33,7 @@ class SegmentCache:
             firsts = np.concatenate([self.first, len(self.bounds) - 1 + np.arange(len(new))])
             self.bounds = np.concatenate([self.bounds, bounds[1:] + len(self.ids)])
             self.ids = np.concatenate([self.ids, ids])
-            order = np.argsort(hashes)
+            order = np.argsort(hashes, kind="stable")  # merges two sorted runs
             self.hash, self.first = hashes[order], firsts[order]
         own = self.first[np.searchsorted(self.hash, distinct)][place] if len(distinct) else np.zeros(0, np.int64)
         return spread(self.ids, self.bounds, own)

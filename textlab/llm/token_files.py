@@ -10,15 +10,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from textlab.llm.segments import SegmentCache
+from textlab.llm.segments import SegmentCache, spread
 from textlab.llm.staging import shared_folder
-from textlab.llm.words import BYTE_CODES, mix, powers, slices, text_bytes
+from textlab.llm.words import BYTE_CODES, MULTIPLIER, mix, powers, slices, text_bytes
 
 END_ID = 2
 SHARD_TOKENS = 1 << 20    # a shard ends with the document that reaches this
 LEAST_COUNT = 32          # pairs of fewer places in a shard get no rule
 RANGE = 4                 # pairs down to this part of the most frequent get rules in the same round
 GRAMMAR = 1 << 24         # symbols are stored in three bytes
+CHAIN = 256               # pieces that the tokenizers library gets as one text
+SIEVE_BITS = 16           # chosen pairs are first looked up by so many bits of a hash
 SHARDS = (
     "part int, shard int, doc_ids array<bigint>, symbols array<int>, tokens array<bigint>, "
     "vocabulary int, low binary, high binary, left binary, right binary, lengths binary"
@@ -30,19 +32,25 @@ STARTS_WORD = np.array([33 <= b <= 126 or b >= 0xC3 and b not in WIDE_SPACE for
 
 class Tokenizer:
     """Ids of the ``tokenizers`` library. The byte-level pattern always starts a token at a space that a visible character
-    follows, so texts are cut there and each distinct piece is given to the library once."""
+    follows, so texts are cut there and each distinct piece is given to the library once, many of them in one text."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer as Library
 
         self.library, self.cache = Library.from_file(path), SegmentCache()
+        vocabulary = self.library.get_vocab()
+        self.bytes_of = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        self.bytes_of[list(vocabulary.values())] = [len(t) for t in vocabulary]  # a character of a byte-level token is a byte
+        for i, token in self.library.get_added_tokens_decoder().items():
+            self.bytes_of[i] = len(token.content.encode())
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows, and bounds of each row's ids."""
         data, offsets = text_bytes(column)
         cut = np.zeros(len(data), bool)
         cut[:-1] = (data[:-1] == 32) & STARTS_WORD[data[1:]]
+        inner = cut.copy()
         cut[offsets[:-1][np.diff(offsets) > 0]] = True
         start = np.flatnonzero(cut)
         size = np.diff(np.append(start, len(data)))
@@ -52,15 +60,39 @@ class Tokenizer:
         code = mix(np.add.reduceat(BYTE_CODES[data] * powers(int(size.max()))[place], start))
         flat = data.tobytes()
 
+        def pieces(which):
+            return [flat[a:b] for a, b in zip(start[which].tolist(), (start[which] + size[which]).tolist())]
+
         def solve(first):
-            texts = [flat[a:b].decode() for a, b in zip(start[first].tolist(), (start[first] + size[first]).tolist())]
-            found = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-            return np.array([i for ids in found for i in ids], np.int64), np.cumsum([0, *map(len, found)])
+            # Pieces that start at such a space can follow each other in one text.
+            joined = inner[start[first]]
+            alone, chained = self.each(pieces(first[~joined])), self.chain(pieces(first[joined]), size[first[joined]])
+            place = np.empty(len(first), np.int64)
+            place[np.concatenate([np.flatnonzero(~joined), np.flatnonzero(joined)])] = np.arange(len(first))
+            ids, counts = np.concatenate([alone[0], chained[0]]), np.concatenate([alone[1], chained[1]])
+            ids, counts = spread(ids, np.concatenate([[0], np.cumsum(counts)]), place)
+            return ids, np.concatenate([[0], np.cumsum(counts)])
 
         ids, counts = self.cache.encode(code, solve)
         total = np.concatenate([[0], np.cumsum(counts)])
         return ids, total[np.searchsorted(start, offsets)]
 
+    def each(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces, and their number by piece; each piece is a text."""
+        found = [e.ids for e in self.library.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
+        return np.array([i for ids in found for i in ids], np.int64), np.array([len(ids) for ids in found], np.int64)
+
+    def chain(self, pieces: list[bytes], size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same, with ``CHAIN`` pieces in a text: the bytes that ids stand for tell where pieces end."""
+        texts = [b"".join(pieces[i : i + CHAIN]) for i in range(0, len(pieces), CHAIN)]
+        found = [np.array(e.ids, np.int64) for e in self.library.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+        ids = np.concatenate([np.zeros(0, np.int64), *found])
+        ends, wanted = np.cumsum(self.bytes_of[ids]), np.cumsum(size)
+        at = np.searchsorted(ends, wanted)
+        if len(pieces) and (ends[-1] != wanted[-1] or (ends[at] != wanted).any()):
+            return self.each(pieces)  # another kind of tokenizer
+        return ids, np.diff(at + 1, prepend=0)
+
 
 def compress(ids: np.ndarray, last: np.ndarray, vocabulary: int, least: int = LEAST_COUNT):
     """Re-Pair: ``(symbols, last, left, right)``; rule r is symbol ``vocabulary + r`` and stands for left[r] right[r].
@@ -76,13 +108,18 @@ def compress(ids: np.ndarray, last: np.ndarray, vocabulary: int, least: int = LE
         if not len(counts) or counts.max() < least or vocabulary + len(left) + len(found) >= GRAMMAR:
             break
         chosen = found[counts >= max(least, counts.max() // RANGE)]
-        at = np.minimum(np.searchsorted(chosen, pairs), len(chosen) - 1)
-        places = np.flatnonzero(chosen[at] == pairs)
+        sieve = np.zeros(1 << SIEVE_BITS, bool)
+        sieve[_short(chosen)] = True
+        maybe = np.flatnonzero(sieve[_short(pairs)])
+        at = np.minimum(np.searchsorted(chosen, pairs[maybe]), len(chosen) - 1)
+        met = chosen[at] == pairs[maybe]
+        places, rules = maybe[met], at[met]
         # In a run of neighbouring places every second one is taken.
         new_run = np.concatenate([[True], np.diff(places) > 1])
         run_start = places[np.flatnonzero(new_run)][np.cumsum(new_run) - 1]
-        places = places[(places - run_start) % 2 == 0]
-        symbols[places] = vocabulary + len(left) + at[places]
+        taken = (places - run_start) % 2 == 0
+        places, rules = places[taken], rules[taken]
+        symbols[places] = vocabulary + len(left) + rules
         left, right = np.concatenate([left, chosen // GRAMMAR]), np.concatenate([right, chosen % GRAMMAR])
         keep = np.ones(len(symbols), bool)
         keep[places + 1] = False
@@ -91,6 +128,10 @@ def compress(ids: np.ndarray, last: np.ndarray, vocabulary: int, least: int = LE
     return symbols, last, left, right
 
 
+def _short(pairs: np.ndarray) -> np.ndarray:
+    return (pairs.astype(np.uint64) * MULTIPLIER) >> np.uint64(64 - SIEVE_BITS)
+
+
 def rule_lengths(left: np.ndarray, right: np.ndarray, vocabulary: int) -> np.ndarray:
     """Ids that each rule stands for; a rule only uses earlier ones."""
     lengths, done = np.zeros(len(left), np.int64), 0
