@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -94,6 +95,12 @@ class Tokenizer:
         return ids, np.diff(at + 1, prepend=0)
 
 
+@lru_cache(maxsize=1)
+def tokenizer_of(path: str) -> Tokenizer:
+    """One for all tasks that a Python worker runs."""
+    return Tokenizer(path)
+
+
 def compress(ids: np.ndarray, last: np.ndarray, vocabulary: int, least: int = LEAST_COUNT):
     """Re-Pair: ``(symbols, last, left, right)``; rule r is symbol ``vocabulary + r`` and stands for left[r] right[r].
 
@@ -103,11 +110,17 @@ def compress(ids: np.ndarray, last: np.ndarray, vocabulary: int, least: int = LE
     symbols, left, right = ids.astype(np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     while len(symbols) > 1:
         pairs = np.where(last[:-1], -1, symbols[:-1] * GRAMMAR + symbols[1:])
-        found, counts = np.unique(pairs, return_counts=True)
-        counts[found < 0] = 0
-        if not len(counts) or counts.max() < least or vocabulary + len(left) + len(found) >= GRAMMAR:
+        ranked = np.sort(pairs)
+        ranked = ranked[np.searchsorted(ranked, 0) :]
+        # A pair of enough places is equal to the one ``least - 1`` further on, at all but its last places.
+        head = ranked[: max(len(ranked) - least + 1, 0)]
+        found, counts = np.unique(head[head == ranked[least - 1 :]], return_counts=True)
+        counts += least - 1
+        if not len(counts):
             break
         chosen = found[counts >= max(least, counts.max() // RANGE)]
+        if vocabulary + len(left) + len(chosen) >= GRAMMAR:
+            break
         sieve = np.zeros(1 << SIEVE_BITS, bool)
         sieve[_short(chosen)] = True
         maybe = np.flatnonzero(sieve[_short(pairs)])
@@ -221,7 +234,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, shard_tokens:
     schema = pa.schema([(k, fields.get(k, pa.binary())) for k in (c.split()[0] for c in SHARDS.split(", "))])
 
     def run(batches):
-        tokenizer, part, shard = Tokenizer(tokenizer_path), TaskContext.get().partitionId(), 0
+        tokenizer, part, shard = tokenizer_of(tokenizer_path), TaskContext.get().partitionId(), 0
         vocabulary = max(tokenizer.library.get_vocab_size(), END_ID + 1)
         docs, counts, ids, held = [], [], [], 0
         for batch in slices(batches, limit=1 << 21):
