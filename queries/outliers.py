@@ -57,11 +57,12 @@ def outlier_profile(spark, sf):
 
 @query("outlier_top10", f"""WITH {FLAGGED} SELECT "docID", "sentenceID", name, section,
   CASE WHEN length(sentence) > 200 THEN substr(sentence, 1, 200) || '...' ELSE sentence END AS sentence,
-  char_count, word_count, round(anomaly_score, 6) AS anomaly_score FROM flagged WHERE is_outlier = 1
+  char_count, word_count, round(char_count / word_count, 6) AS avg_word_length, round(anomaly_score, 6) AS anomaly_score
+FROM flagged WHERE is_outlier = 1
 ORDER BY score DESC, "docID", "sentenceID" LIMIT 10""")
 def outlier_top10(spark, sf):
     return ou.outlier_top(flagged_rows(spark, sf), KEY).select(
-        *KEY, "name", "section", "sentence", "char_count", "word_count",
+        *KEY, "name", "section", "sentence", "char_count", "word_count", F.round("avg_word_length", 6).alias("avg_word_length"),
         F.round("anomaly_score", 6).alias("anomaly_score"),
     )
 

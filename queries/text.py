@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from queries import views as v
 from queries.family import Family
-from textlab.operators import chunking, embedding, sampling
+from textlab.operators import chunking, embedding, sampling, search
 from textlab.operators.enrich import enrich, with_priority
 from textlab.plans.retrieval import step_counts
+from textlab.sources.vector_table import latest_wins
 
 family = Family()
 query = family.query
@@ -179,12 +180,17 @@ def normalize_vectors(spark, sf):
 SELECT 'row_count' AS key, count(*) AS value FROM kept
 UNION ALL SELECT 'column_count', 13
 UNION ALL SELECT 'chunk_count', count(*) FROM chunks
-UNION ALL SELECT 'embeddings_created', count(*) FROM chunks""")
+UNION ALL SELECT 'embeddings_created', count(*) FROM chunks
+UNION ALL SELECT 'vectors_stored', count(DISTINCT chunk_id) FROM chunks
+UNION ALL SELECT 'validation_results', least(count(DISTINCT chunk_id), 5) FROM chunks""")
 def step_metrics(spark, sf):
     dimension = v.sections(spark)
     rows = enrich(v.sentences(spark, sf), dimension)
     chunked = chunking.chunks(rows, dimension)
+    embedded = embedding.embed(chunked)
+    stored = latest_wins(embedded, "chunk_id", ["text"])
+    hits = search.search(stored, embedding.embed_query(spark, "main risk factors"), 5)
     return step_counts(
-        {"row_count": rows, "chunk_count": chunked, "embeddings_created": embedding.embed(chunked)},
+        {"row_count": rows, "chunk_count": chunked, "embeddings_created": embedded, "vectors_stored": stored, "validation_results": hits},
         {"column_count": len(rows.columns)},
     )

@@ -36,8 +36,8 @@ def test_flags_are_strict(spark):
 
 def test_likely_table(spark):
     texts = ["1 22  333", "1 2", "a1 2\t3b", "١ ٢ ٣", None]
-    assert column(spark, texts, "string", tx.likely_table("s")) == [True, False, True, True, None]
-    assert column(spark, texts, "string", tx.likely_table("s", unicode=False)) == [True, False, True, False, None]
+    assert column(spark, texts, "string", tx.likely_table("s", unicode=True)) == [True, False, True, True, None]
+    assert column(spark, texts, "string", tx.likely_table("s")) == [True, False, True, False, None]
 
 
 def test_preview(spark):

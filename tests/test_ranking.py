@@ -20,6 +20,16 @@ def test_no_hot_groups(spark):
     assert ranking.hot_groups(rows, ["g"], 4).count() == 2
 
 
+def test_a_group_of_few_long_texts_is_ranked_in_blocks(spark, monkeypatch):
+    rows = spark.range(60).selectExpr("id % 2 as g", "repeat(cast(id % 7 as string), if(id % 2 = 0, 5000, 5)) as o", "id")
+    plain = {tuple(r) for r in ranking.window_positions(rows, ["g"], ["o", "id"]).select("id", "_pos", "_n").collect()}
+    assert [r._group.g for r in ranking.hot_groups(rows, ["g"], 100, 10_000).collect()] == [0]
+    assert ranking.block_count(rows, ranking.hot_groups(rows, ["g"], 100, 10_000), 100, 10_000) == 15
+    monkeypatch.setattr(ranking, "window_positions", lambda df, *a, real=ranking.window_positions: real(df.where("g = 1"), *a))
+    got = ranking.positions(rows, ["g"], ["o", "id"], 100, 10_000)
+    assert {tuple(r) for r in got.select("id", "_pos", "_n").collect()} == plain
+
+
 @pytest.mark.parametrize("values", [
     list(range(1000)), [1.0] * 50, [1e-300, 1e300] * 20 + [0.5], list(np.random.default_rng(1).exponential(size=3000)),
     [2**60 + i for i in range(300)], [-1.7e308, 1.7e308, 0.0, 1.0] * 10,

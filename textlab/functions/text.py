@@ -46,8 +46,8 @@ def is_fragment(text: Column | str) -> Column:
     return char_count(text) < FRAGMENT_CHARS
 
 
-def likely_table(text: Column | str, unicode: bool = True) -> Column:
-    """Three numbers in a row. ``unicode=False`` limits digits and blanks to ASCII."""
+def likely_table(text: Column | str, unicode: bool = False) -> Column:
+    """Three numbers in a row, of ASCII digits and blanks; with ``unicode`` of any."""
     return _column(text).rlike(("(?U)" if unicode else "") + TABLE_PATTERN)
 
 

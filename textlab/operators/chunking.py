@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textlab.operators.enrich import with_section_name
-from textlab.operators.ranking import HOT_ROWS, block_count, blocked_positions, hot_groups, split_hot
+from textlab.operators.ranking import HOT_BYTES, HOT_ROWS, block_count, blocked_positions, hot_groups, split_hot
 from textlab.operators.sizing import small_side
 
 META = ["name", "reportDate", "cik", "section_priority"]
@@ -96,6 +96,7 @@ def chunks(
     stride: int = 2,
     max_chars: int = 2000,
     hot_rows: int | None = HOT_ROWS,
+    hot_bytes: int = HOT_BYTES,
     keep_tail: bool = True,
 ) -> DataFrame:
     """One row per chunk of each ``(docID, section)`` group.
@@ -103,17 +104,17 @@ def chunks(
     Groups of fewer than ``w`` sentences are one chunk; otherwise windows of ``w`` start at 0,
     ``stride``, ... up to the last full window. Sentences after it make a shorter chunk of their own;
     without ``keep_tail`` they are in no chunk. Equal order
-    values are ordered by text. Groups above ``hot_rows`` rows are spread over tasks; ``None`` skips
+    values are ordered by text. Groups above ``hot_rows`` rows or ``hot_bytes`` of text are spread over tasks; ``hot_rows=None`` skips
     that check for inputs whose groups are known to be small.
     """
     keys, by = ["docID", "section"], [*order, text]
-    hot = hot_groups(df, keys, hot_rows) if hot_rows else None
+    hot = hot_groups(df, keys, hot_rows, hot_bytes) if hot_rows else None
     if hot is None:
         windows = _windows(df, keys, by, text, w, stride, keep_tail)
     else:
         ordinary, large = split_hot(df, keys, hot)
         windows = _windows(ordinary, keys, by, text, w, stride, keep_tail).unionByName(
-            _windows_of_hot(large, keys, by, text, w, stride, block_count(df, hot, hot_rows), keep_tail)
+            _windows_of_hot(large, keys, by, text, w, stride, block_count(df, hot, hot_rows, hot_bytes), keep_tail)
         )
     return _chunk_records(windows, sections, w, max_chars)
 

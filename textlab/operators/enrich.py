@@ -53,7 +53,7 @@ def enrich(
     sample_size: int | None = None,
     key: Sequence[str] = ("docID", "sentenceID"),
     seed: int = 42,
-    unicode: bool = True,
+    unicode: bool = False,
     text: str = "sentence",
 ) -> DataFrame:
     """Drop unused columns, add counts, flags and priority, keep texts of at least ``min_tokens``,
