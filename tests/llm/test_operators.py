@@ -301,5 +301,23 @@ def test_embedding_links(spark, block):
     assert got == {i: (degree[i], want[i], want[i] == i) for i in range(len(vectors))}
 
 
+@pytest.mark.parametrize("tile,candidates", [(2, 1), (3, 2), (3, 1 << 16), (1024, 1), (1024, 3)])
+@pytest.mark.parametrize("same", [True, False])
+def test_embedding_links_of_chains_in_any_order(monkeypatch, tile, candidates, same):
+    """Chains of vectors of which only neighbours link, dealt over tiles and candidate steps in shuffled order."""
+    monkeypatch.setattr(embedding_links, "TILE", tile)
+    monkeypatch.setattr(embedding_links, "CANDIDATES", candidates)
+    for seed in range(20):
+        rng = np.random.default_rng(seed)
+        turns = np.concatenate([np.arange(5) * 0.4, 2.9 + np.arange(6) * 0.4])  # cos 0.4 > 0.9 > cos 0.8
+        y = np.stack([np.cos(turns), np.sin(turns), np.zeros(11), np.zeros(11)], axis=1)[rng.permutation(11)]
+        side = np.zeros(11, int) if same else rng.permutation(np.arange(11) % 2)
+        edges = [(a, b) for a, b in combinations(range(11), 2) if y[a] @ y[b] >= 0.9 and (same or side[a] != side[b])]
+        got = embedding_links._block_links(np.arange(11), np.ones(11, int), y, side, same, 0.9).to_pydict()
+        assert smallest_reachable(range(11), zip(got["a"], got["b"])) == smallest_reachable(range(11), edges)
+        degree = np.bincount(np.array(edges, int).ravel(), minlength=11)
+        assert dict(zip(got["a"], got["links"])) == {i: degree[i] for i in got["a"]} and sum(got["links"]) == degree.sum()
+
+
 def test_embedding_links_empty(spark):
     assert embedding_links.link_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0

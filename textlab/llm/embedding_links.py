@@ -15,6 +15,7 @@ from textlab.llm.staging import staged
 
 BLOCK = 8192      # vectors of one side of a task
 TILE = 1024       # rows and columns of one matrix product
+CANDIDATES = 1 << 16  # pairs of a tile that are computed further at once
 SLACK = 1e-9      # rounding of a bound; a pair within it is computed in full
 MARGIN = 1e-12    # rounding of a cosine that is equal to the threshold on paper
 
@@ -56,8 +57,8 @@ def near_pairs(a: np.ndarray, b: np.ndarray, threshold: float):
             lead = a[top : top + TILE, : cuts[0]] @ b[side : side + TILE, : cuts[0]].T
             bound = lead + norms[0][0][top : top + TILE, None] * norms[0][1][None, side : side + TILE]
             rows, columns = np.nonzero(bound >= threshold - SLACK)
-            for at in range(0, len(rows), 1 << 16):
-                i, j = rows[at : at + (1 << 16)], columns[at : at + (1 << 16)]
+            for at in range(0, len(rows), CANDIDATES):
+                i, j = rows[at : at + CANDIDATES], columns[at : at + CANDIDATES]
                 part = lead[i, j]
                 i, j = i + top, j + side
                 for (start, end), (x, y) in zip(zip(cuts, cuts[1:]), norms[1:]):
@@ -68,6 +69,23 @@ def near_pairs(a: np.ndarray, b: np.ndarray, threshold: float):
                 yield i[keep], j[keep]
 
 
+def _joined(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """``label``, the smallest member of every node's component, after the links ``i``-``j``.
+
+    Roots are hooked, not nodes: all that was joined to a root moves with it.
+    """
+    while True:
+        a, b = label[i], label[j]
+        apart = a != b
+        if not apart.any():
+            return label
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        label = label.copy()
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while (label[label] != label).any():
+            label = label[label]
+
+
 def _block_links(key, weight, y, side, same: bool, threshold: float) -> pa.RecordBatch:
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 0 if same else side == 1)
     links, label = np.zeros(len(key), np.int64), np.arange(len(key))
@@ -77,16 +95,7 @@ def _block_links(key, weight, y, side, same: bool, threshold: float) -> pa.Recor
             i, j = i[i < j], j[i < j]
         np.add.at(links, i, weight[j])
         np.add.at(links, j, weight[i])
-        while len(i):  # the smaller label of each pair for both, until nothing changes
-            low = np.minimum(label[i], label[j])
-            if (label[i] == low).all() and (label[j] == low).all():
-                break
-            np.minimum.at(label, i, low)
-            np.minimum.at(label, j, low)
-            label = label[label]
-    # Labels of earlier tiles may have been lowered since; following them to their ends joins what was joined.
-    while (label[label] != label).any():
-        label = label[label]
+        label = _joined(label, i, j)
     found = np.flatnonzero((links > 0) | (label != np.arange(len(key))))
     return pa.RecordBatch.from_arrays([pa.array(key[found]), pa.array(key[label[found]]), pa.array(links[found])], names=["a", "b", "links"])
 
