@@ -102,6 +102,19 @@ def test_approximate_search_recall(spark):
     assert hits >= 9
 
 
+def test_approximate_search_recall_of_the_defaults(spark, sf):
+    """The share of the other four of the best five; the asked row itself is always found."""
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").cache()
+    index = search.approximate_index(rows)
+    found, true = 0, 0
+    for r in rows.filter("vec_id % 20 = 0").collect():
+        exact = {x.vec_id for x in search.search(rows, r.embedding, 5, key="vec_id").collect()} - {r.vec_id}
+        found += len(exact & {x.vec_id for x in search.search_approximate(index, rows, r.embedding, 5).collect()})
+        true += len(exact)
+    rows.unpersist()
+    assert true == 100 and found / true >= 0.98
+
+
 def test_embed_by_hash(spark):
     df = spark.createDataFrame([("a b a",), ("",), (None,), ("c",)], "text string")
     made = embedding.embed(df, dim=32).collect()
