@@ -190,6 +190,23 @@ def test_toxicity_pairs(spark):
     assert np.mean([(got[d] >= 0.5) == bool(y) for d, y in held]) > 0.95
 
 
+def test_toxicity_of_words_that_tell_only_together(spark):
+    """One of two words is toxic, both or none are not: each word alone tells nothing."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(2000):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        words = [f"filler{rng.randint(0, 30)}" for _ in range(6)] + (["insult"] if a else []) + (["group"] if b else [])
+        rng.shuffle(words)
+        rows.append((i, " ".join(words), int(a != b)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(d, y) for d, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels.where(toxicity.fold(toxicity.F.col("doc_id")) != 0))
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(docs, model).collect()}
+    held = [(d, y) for d, _, y in rows if zlib.crc32(str(d).encode()) % 5 == 0]
+    assert np.mean([(got[d] >= 0.5) == bool(y) for d, y in held]) > 0.95
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
     model = toxicity.train(docs, spark.createDataFrame([], "doc_id long, toxic int"))

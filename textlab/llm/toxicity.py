@@ -14,7 +14,6 @@ FACTORS = 8
 STEMS = (4, 5, 6)         # bytes of the word beginnings that are terms beside whole words
 SAMPLE = 16_384           # most labelled documents that a model is fitted on
 LEAST_DOCS = 3            # terms of fewer sampled documents get no weight
-CHI_SQUARED = 20.0        # terms that tell less about the label get no weight either
 EPOCHS, BATCH, RATE, PENALTY = 12, 256, 0.02, 2e-4
 DAMPING = 0.5             # terms count by the number of a document's terms to minus half this power
 SEED = 11
@@ -56,21 +55,13 @@ def _sigmoid(raw: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(raw, -60, 60)))
 
 
-def associated(bounds: np.ndarray, bucket: np.ndarray, label: np.ndarray) -> np.ndarray:
-    """Buckets whose presence and the label depend on each other, by a chi-squared test of their 2 x 2 table."""
-    n, toxic = len(label), float(label.sum())
-    seen = np.bincount(bucket, minlength=BUCKETS).astype(float)
-    both = np.bincount(bucket, np.repeat(label, np.diff(bounds)), BUCKETS)
-    expected = seen * toxic / max(n, 1)
-    spread = expected * (1 - toxic / max(n, 1)) * (1 - seen / max(n, 1))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return (seen >= LEAST_DOCS) & ((both - expected) ** 2 > CHI_SQUARED * spread) & (spread > 0)
-
-
 def fit(bounds: np.ndarray, bucket: np.ndarray, label: np.ndarray, damping: float = DAMPING) -> dict:
-    """Logistic loss, Adam on mini-batches; rows of terms as bounds and buckets. Fixed seed, no other randomness."""
+    """Logistic loss, Adam on mini-batches; rows of terms as bounds and buckets. Fixed seed, no other randomness.
+
+    Terms are not screened by what they tell alone: some tell something only together.
+    """
     rng = np.random.default_rng(SEED)
-    active = associated(bounds, bucket, label)
+    active = np.bincount(bucket, minlength=BUCKETS) >= LEAST_DOCS
     place = np.full(BUCKETS, -1)
     used = np.flatnonzero(active)
     place[used] = np.arange(len(used))
