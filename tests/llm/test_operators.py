@@ -73,6 +73,17 @@ def test_decontamination_actions(spark):
     assert decontamination.decontaminate(docs, items.limit(0)).count() == len(DOCS)
 
 
+@pytest.mark.parametrize("budget", [decontamination.BROADCAST_BYTES, 0])
+def test_decontamination_by_an_item_without_an_id(spark, budget):
+    docs = spark.createDataFrame([(1, "x Never seen, words y"), (2, "never seen"), (3, "never seen words short item")], "doc_id long, text string")
+    items = spark.createDataFrame(ITEMS, "item_id string, text string")
+    got = decontamination.find_contamination(docs, items, broadcast_bytes=budget).collect()
+    assert {r.doc_id: (r.n_hit, r.n_items, r["items"], [tuple(s) for s in r.spans]) for r in got} == {
+        1: (3, 0, [], [(2, 19)]), 2: (0, 0, [], []), 3: (5, 2, ["b", "e"], [(0, 27)])}
+    if budget:
+        assert [r.doc_id for r in decontamination.decontaminate(docs, items).collect()] == [2]
+
+
 # N-gram Jaccard join
 
 

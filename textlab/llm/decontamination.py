@@ -22,6 +22,7 @@ def benchmark_windows(benchmark: DataFrame, n: int = N) -> DataFrame:
     """``hash, n, window, items``: the distinct normalised windows of all items, each with its items' ids.
 
     An item of fewer than ``n`` words is one window of all its words; an item without words or with null text has none.
+    Windows of items with a null id are kept and add no id.
     """
 
     def cut(batches):
@@ -39,7 +40,7 @@ def benchmark_windows(benchmark: DataFrame, n: int = N) -> DataFrame:
                 zip(*rows) if rows else [[]] * 4, (pa.int64(), pa.int64(), pa.binary(), pa.string()))], names=["hash", "n", "window", "item"])
 
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    cuts = items.where("item_id is not null").mapInArrow(cut, "hash long, n long, window binary, item string")
+    cuts = items.mapInArrow(cut, "hash long, n long, window binary, item string")
     return cuts.groupBy("hash", "n", "window").agg(F.collect_set("item").alias("items"))
 
 
@@ -61,7 +62,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = N, broadc
 
     Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased. A window's 64-bit hash finds
     candidates; its words decide. Null and empty texts have no words. Columns named like a result are replaced,
-    all others stay; repeated rows are judged each. An empty benchmark hits nothing.
+    all others stay; repeated rows are judged each. An empty benchmark hits nothing. Windows of an item with a null id
+    hit words, but add nothing to ``n_items`` and ``items``.
 
     The windows are broadcast when their size, counted first, is at most ``broadcast_bytes``; a larger benchmark
     is joined with the documents' windows by hash instead, which shuffles hashes and rows of the window table.
