@@ -104,6 +104,17 @@ def search_batch(spark, sf):
     return se.search_batch(rows, asked, 5).withColumn("score", F.round("score", 6))
 
 
+@query("search_batch_many", f"""WITH {v.VECTORS},
+asked AS (SELECT vec_id AS query_id, embedding AS qv FROM vectors WHERE vec_id % 20 = 0),
+scored AS (SELECT query_id, chunk_id, list_inner_product(embedding, qv) AS raw_score FROM asked, vectors),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY raw_score DESC, chunk_id) AS rank FROM scored)
+SELECT query_id, rank, chunk_id, round(raw_score, 6) AS score FROM ranked WHERE rank <= 5""")
+def search_batch_many(spark, sf):
+    rows = v.vectors(spark, sf)
+    asked = rows.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    return se.search_batch(rows, asked, 5).withColumn("score", F.round("score", 6))
+
+
 @query("search_display", f"""WITH {SCORED}, best AS (
   SELECT *, row_number() OVER (ORDER BY raw_score DESC, chunk_id) AS rank FROM scored
   QUALIFY rank <= 5)

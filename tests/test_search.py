@@ -75,6 +75,31 @@ def test_batch_search_equals_single_searches(spark, monkeypatch, bytes_per_pass,
         assert [r["rank"] for r in mine] == [1, 2, 3, 4, 5]
 
 
+def test_batch_search_of_many_queries_in_one_scan_and_not_by_the_driver(spark, monkeypatch, tmp_path):
+    df, m = vectors(spark, 240)
+    df.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    queries = spark.createDataFrame([(i, [float(x) for x in m[i]]) for i in range(240)], "query_id int, query_vector array<double>")
+    queries.write.parquet(str(tmp_path / "q"))
+    for name in ("toArrow", "toPandas", "toLocalIterator"):
+        monkeypatch.setattr(type(df), name, lambda self, *a, name=name: pytest.fail(f"{name} of the queries"))
+    found = search.search_batch(stored, spark.read.parquet(str(tmp_path / "q")), 3, max_query_bytes=16 * 8 * 30)
+    monkeypatch.undo()
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+    got = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.chunk_id)
+    assert got == {i: best(m, m[i], 3) for i in range(240)}
+
+
+def test_batch_search_refuses_query_vectors_of_different_lengths(spark):
+    df, m = vectors(spark, 20)
+    for other in (None, [1.0]):
+        queries = spark.createDataFrame([(1, [float(x) for x in m[0]]), (2, other)], "query_id int, query_vector array<double>")
+        with pytest.raises(ValueError, match="null or of different lengths"):
+            search.search_batch(df, queries, 5)
+
+
 def test_batch_search_fewer_rows_than_k_and_no_queries(spark):
     df, m = vectors(spark, 20)
     queries = spark.createDataFrame([(1, [float(x) for x in m[0]])], "query_id int, query_vector array<double>")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 from math import ceil
 from operator import and_
@@ -15,7 +15,8 @@ from textlab.functions import text as tx
 from textlab.functions import vector as vx
 
 HIGH_PRIORITIES = ["high", "highest"]
-QUERY_BYTES = 8 * 1024 * 1024    # query vectors shipped to the tasks per pass
+QUERY_BYTES = 8 * 1024 * 1024    # query vectors of a block, about
+VECTOR_BYTES = 8 * 1024 * 1024   # stored vectors that a block meets at once, about
 SCORES = 4_000_000               # scores held at once in a task
 
 
@@ -70,19 +71,25 @@ def search_batch(
 ) -> DataFrame:
     """Top ``k`` per query: ``(query_id, rank, key, score)``.
 
-    A task keeps only the best ``k`` rows per query while it reads its vectors, so nothing but
-    those is shuffled. Queries beyond ``max_query_bytes`` are handled in several passes.
+    Queries are dealt into blocks of about ``max_query_bytes`` and vectors into parts; every block meets every part in
+    a task of its own, which keeps only the best ``k`` rows per query. Neither goes through the driver. Both are dealt by
+    hash, so equal rows stay together. A query vector that is null or of another length than the others is an error.
     """
     rows = (table if where is None else table.filter(where)).select(key, vector)
-    size = queries.agg(F.count(F.lit(1)), F.max(F.size(query_vector))).first()
-    passes = max(1, ceil((size[0] or 0) * (size[1] or 1) * 8 / max_query_bytes))
-    best = None
-    for number in range(passes):
-        mine = queries.select(query_id, query_vector).filter(
-            F.pmod(F.xxhash64(query_id), F.lit(passes)) == number
-        )
-        part = _best_per_task(rows, mine.toArrow(), k, key, vector, query_id, queries.schema[query_id])
-        best = part if best is None else best.unionByName(part)
+    n, known, dim, least = queries.agg(
+        F.count(F.lit(1)), F.count(query_vector), F.max(F.size(query_vector)), F.min(F.size(query_vector))).first()
+    if n != known or dim != least:
+        raise ValueError("query vectors are null or of different lengths")
+    blocks = max(1, ceil(n * (dim or 1) * 8 / max_query_bytes))
+    parts = max(rows.sparkSession.sparkContext.defaultParallelism, ceil(rows.count() * (dim or 1) * 8 / VECTOR_BYTES))
+    asked = queries.select(
+        F.pmod(F.xxhash64(query_id, query_vector), F.lit(blocks)).alias("_block"),
+        F.explode(F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<long>")).alias("_part"), query_id, query_vector)
+    stored = rows.select(
+        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")).alias("_block"),
+        F.pmod(F.xxhash64(key, vector), F.lit(parts)).alias("_part"), key, vector)
+    best = _best_per_task(asked, stored, k, key, query_id, T.StructType([
+        queries.select(query_id).schema[0], rows.schema[key], T.StructField("score", T.DoubleType())]))
     ranking = Window.partitionBy(query_id).orderBy(F.desc("score"), key)
     return (
         best.withColumn("rank", F.row_number().over(ranking))
@@ -91,27 +98,20 @@ def search_batch(
     )
 
 
-def _best_per_task(
-    rows: DataFrame, queries, k: int, key: str, vector: str, query_id: str, query_field: T.StructField
-) -> DataFrame:
-    schema = T.StructType([
-        T.StructField(query_id, query_field.dataType), rows.schema[key], T.StructField("score", T.DoubleType())
-    ])
-    shipped = rows.sparkSession.sparkContext.broadcast(queries)
+def _best_per_task(asked: DataFrame, stored: DataFrame, k: int, key: str, query_id: str, schema: T.StructType) -> DataFrame:
     at_once = SCORES
 
-    def scan(batches: Iterator) -> Iterator:
+    def scan(left, right):
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        asked = shipped.value
-        ids = asked.column(0)
-        if len(ids) == 0:
-            return
-        if asked.column(1).null_count or len(set(len(q) for q in asked.column(1).to_pylist())) > 1:
-            raise ValueError("query vectors are null or of different lengths")
-        matrix = np.vstack(asked.column(1).to_pylist()).astype(np.float64)
+        left, right = left.drop_columns(["_block", "_part"]), right.drop_columns(["_block", "_part"])
+        ids, batches = left.column(0).combine_chunks(), right.to_batches()
+        nothing = pa.table([ids.slice(0, 0), right.column(0).slice(0, 0), pa.array([], pa.float64())], names=[query_id, key, "score"])
+        if not len(ids) or not right.num_rows:
+            return nothing
+        matrix = np.vstack(left.column(1).to_pylist()).astype(np.float64)
         kept, cut = None, np.full(len(ids), -np.inf)
         step = max(1, at_once // len(ids))
         pieces = (b.slice(i, step) for b in batches for i in range(0, b.num_rows, step))
@@ -140,14 +140,14 @@ def _best_per_task(
             kept = merged.filter(pa.array(within < k))
             full = within == k - 1
             cut[q[full]] = merged.column("score").to_numpy()[full]
-        if kept is not None:
-            for out in pa.table(
-                [ids.take(kept.column("q")), kept.column("key"), kept.column("score")],
-                names=[query_id, key, "score"],
-            ).to_batches():
-                yield out
-
-    return rows.mapInArrow(scan, schema)
+        if kept is None:
+            return nothing
+        return pa.table(
+            [ids.take(kept.column("q").combine_chunks()), kept.column("key"), kept.column("score")],
+            names=[query_id, key, "score"],
+        )
+
+    return asked.groupBy("_block", "_part").cogroup(stored.groupBy("_block", "_part")).applyInArrow(scan, schema)
 
 
 def display(results: DataFrame, key: str = "chunk_id") -> DataFrame:
