@@ -241,6 +241,14 @@ def test_grammar_round_trip():
         assert np.cumsum(sizes)[ends].tolist() == (np.flatnonzero(last) + 1).tolist()
 
 
+def test_grammar_of_rare_repeats():
+    """A passage of 64 different ids that comes six times is one symbol in the end."""
+    ids = np.concatenate([np.r_[np.arange(64), 1000 + i] for i in range(6)])
+    symbols, _, left, right = token_files.compress(ids, np.arange(len(ids)) == len(ids) - 1, 2000)
+    assert len(symbols) == 12 and len(left) == 63
+    assert token_files.expand(symbols, left, right, token_files.rule_lengths(left, right, 2000), 2000).tolist() == ids.tolist()
+
+
 def test_token_files(spark, tmp_path):
     from tokenizers import Tokenizer
 
