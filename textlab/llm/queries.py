@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlab.llm import decontamination, embedding_links, jaccard_join, pii, suffix_dedup, token_files, toxicity, unigram, url_filters, warc
+from textlab.llm import (
+    decontamination, embedding_links, jaccard_join, packing, periodic_runs, pii, suffix_dedup, token_files, toxicity, unigram, url_filters, vector_codes, warc,
+)
 
 RULES = [  # fixed values of the contract
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"),
@@ -123,5 +125,72 @@ def op10_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", "n_links", "component_id", "kept")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), 2048)
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``docs`` in which the words of every tenth document repeat from some word on, as the contract sets; a null id is left alone."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10).cast("long")
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    sized = docs.withColumn("_words", F.when(h % 10 == 0, words)).withColumns({"_n": F.size("_words"), "_g": g})
+    placed = sized.withColumn("_a", F.when(F.col("_n") > 0, (F.col("_g") % F.col("_n")).cast("int")))
+    n, a = F.col("_n"), F.col("_a")
+    placed = placed.withColumn("_p", 1 + F.floor((n - a) / (3 + F.col("_g") % 8)).cast("int"))
+    period = F.slice("_words", a + 1, F.col("_p"))
+    tail = F.slice(F.flatten(F.array_repeat(period, F.ceil((n - a) / F.col("_p")).cast("int"))), F.lit(1), n - a)
+    text = F.when(a.isNotNull(), F.array_join(F.concat(F.slice("_words", F.lit(1), a), tail), " ")).otherwise(F.col("text"))
+    return placed.withColumn("text", text).select(*docs.columns)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(with_planted_periods(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n"))), "")
+    best = found.withColumn("_top", longest)
+    length, period = F.col("_top.length"), -F.col("_top.period")
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("_top.start")).alias("start"), length.alias("length"), period.alias("period"),
+        F.expr("1000 * _top.length div -_top.period").alias("exponent_milli"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    books = vector_codes.train_codebooks(vectors)
+    coded = vector_codes.with_label_error(vector_codes.encode(vectors, books).drop("embedding"))
+    return coded.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
+
+
+def _assigned(books: str) -> str:
+    return f"""SELECT vec_id, label, p, any_value(x) AS x, arg_min(e, d * 64 + e) AS e, min(d) AS d
+FROM (SELECT vec_id, label, p, x, e, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM parts JOIN {books} USING (p))
+GROUP BY vec_id, label, p"""
+
+
+def _moved(books: str, assigned: str) -> str:
+    return f"""SELECT p, e, coalesce(m, c) AS c FROM {books} LEFT JOIN (
+  SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS m
+  FROM (SELECT p, e, i, sum(x[i]) AS s, count(*) AS n FROM {assigned}, unnest(range(1, len(x) + 1)) AS u(i) GROUP BY p, e, i) GROUP BY p, e) USING (p, e)"""
+
+
+# Vectors of one number of components and distinct ids, as the given tables have them.
+ORACLES["op13_vector_codes"] = f"""
+WITH kept AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+              WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT vec_id, label, p, v[p * len(v) // 16 + 1 : (p + 1) * len(v) // 16] AS x FROM kept, unnest(range(16)) AS u(p)),
+c0 AS MATERIALIZED (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c FROM parts QUALIFY e < 64),
+a0 AS MATERIALIZED ({_assigned("c0")}),
+c1 AS MATERIALIZED ({_moved("c0", "a0")}),
+a1 AS MATERIALIZED ({_assigned("c1")}),
+c2 AS MATERIALIZED ({_moved("c1", "a1")}),
+a2 AS MATERIALIZED ({_assigned("c2")}),
+coded AS (SELECT vec_id, label, string_agg(lpad(lower(to_hex(e)), 2, '0'), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a2 GROUP BY vec_id, label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM c2) AS codebooks_sha256
+FROM coded"""
+
+
 def queries() -> dict:
     return {name: made for name, made in globals().items() if name.startswith("op")}
