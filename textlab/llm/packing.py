@@ -16,6 +16,7 @@ from textlab.llm.word_ids import word_tokenizer
 from textlab.llm.words import slices
 
 END_ID = 0
+SLICE = 1 << 22           # bytes of text encoded at once: more of them share a word
 RANK_BITS = 42            # slots are looked up by length and rank in one 64-bit number
 PIECES = "part int, doc_id long, piece int, start long, length long, ids array<int>, ids_crc32 long, nth long"
 
@@ -96,7 +97,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, capacity: int) -> DataFrame:
 
     def run(batches):
         tokenizer, part, met = word_tokenizer(tokenizer_path), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE):
             flat, bounds = tokenizer.encode(batch.column("text"))
             size = np.diff(bounds) + 1
             ended = np.full(int(size.sum()), END_ID, np.int32)
