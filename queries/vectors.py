@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from queries import views as v
 from queries.family import Family
+from textlab.functions import vector as vx
 from textlab.operators import search as se
+from textlab.session import shared_path
 from textlab.sources import vector_table as vt
+from textlab.sources.vector_index import VectorIndex
 
 family = Family()
 query = family.query
@@ -129,3 +134,45 @@ def search_approximate(spark, sf):
     rows = v.vectors(spark, sf)
     found = se.search_approximate(se.approximate_index(rows), rows, v.query_vector(spark, sf), 5)
     return found.select("chunk_id", "section", "company", F.round("score", 6).alias("score"))
+
+
+@query("search_indexed", f"""WITH {v.VECTORS} SELECT vec_id AS query_id, least(5, (SELECT count(*) FROM vectors)) AS n_hits,
+  least(5, (SELECT count(*) FROM vectors)) AS n_exact, true AS recall_reached FROM vectors WHERE vec_id % 20 = 0""")
+def search_indexed(spark, sf):
+    """Hits of a stored index for every twentieth vector: how many have the exact score, and whether 0.9 of all true hits are found."""
+    rows = v.vectors(spark, sf)
+    index = VectorIndex.build(rows, shared_path(spark, "index"))
+    asked = rows.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    found = index.search_batch(asked, 5).join(rows.select("chunk_id", "embedding"), "chunk_id").join(asked, "query_id")
+    true = F.abs(F.col("score") - vx.dot("embedding", F.col("query_vector"))) < 1e-9
+    hits = found.select("query_id", "chunk_id", true.alias("exact"))
+    wanted = se.search_batch(rows, asked, 5).join(hits, ["query_id", "chunk_id"], "left")
+    recall = wanted.agg(F.avg(F.col("exact").isNotNull().cast("double"))).first()[0]
+    return hits.groupBy("query_id").agg(
+        F.count(F.lit(1)).alias("n_hits"), F.count_if("exact").alias("n_exact"), F.lit((recall or 0) >= 0.9).alias("recall_reached"))
+
+
+@query("index_rows", f"""WITH {v.VECTORS} SELECT chunk_id, vec_id, company, CAST(1 AS BIGINT) AS n_rows,
+  CAST(len(embedding) // 4 AS BIGINT) AS code_bytes FROM vectors WHERE embedding IS NOT NULL""")
+def index_rows(spark, sf):
+    """Every row is in one list of the stored index, with a code of a byte for four components."""
+    index = VectorIndex.build(v.vectors(spark, sf), shared_path(spark, "index"))
+    return index.read().groupBy("chunk_id", "vec_id", "company").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min(F.octet_length("_code")).cast("long").alias("code_bytes"))
+
+
+@query("vector_table_changes", f"""WITH {v.VECTORS},
+updates AS (SELECT * REPLACE ('NEW' AS company) FROM vectors WHERE section = 3
+            UNION ALL BY NAME SELECT * REPLACE ('n' || vec_id AS chunk_id) FROM vectors WHERE section = 4)
+SELECT chunk_id, section, company, round(embedding[1], 6) AS first_value FROM (
+  SELECT * FROM vectors WHERE chunk_id NOT IN (SELECT chunk_id FROM updates) UNION ALL BY NAME SELECT * FROM updates)
+WHERE NOT coalesce(company = 'C3' AND section < 5, false)""")
+def vector_table_changes(spark, sf):
+    """A stored table after an insert, an upsert and a delete, each of which writes only the buckets it touches."""
+    table = vt.VectorTable(spark, f"changes_{uuid.uuid4().hex}", "textlab_queries", partition_by=["section"], buckets=8)
+    rows = v.vectors(spark, sf).withColumn("seq", F.lit(0))
+    table.upsert(rows, "seq")
+    renewed = rows.filter("section = 3").withColumn("company", F.lit("NEW"))
+    table.upsert(renewed.unionByName(rows.filter("section = 4").withColumn("chunk_id", F.concat(F.lit("n"), F.col("vec_id").cast("string")))), "seq")
+    table.delete((F.col("company") == "C3") & (F.col("section") < 5))
+    return table.read().select("chunk_id", "section", "company", F.round(F.col("embedding")[0].cast("double"), 6).alias("first_value"))

@@ -213,15 +213,57 @@ def test_vector_table_life(spark):
     assert vt.list_tables(spark, "vectors_test").count() == 0
 
 
-def test_interrupted_write_is_not_seen_and_cleared_later(spark):
-    table = vt.VectorTable(spark, "t2", "vectors_test")
+def files(spark, table):
+    """Names, sizes and times of the files of a table by bucket."""
+    meta = spark.table(table.name).select("_bucket", "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    found = {}
+    for r in meta.collect():
+        found.setdefault(r[0], set()).add(tuple(r)[1:])
+    return found
+
+
+@pytest.mark.parametrize("partition_by", [[], ["section"]])
+def test_changes_write_only_the_buckets_they_touch(spark, partition_by):
+    table = vt.VectorTable(spark, "t2", "vectors_test", partition_by=partition_by, buckets=8)
     table.drop()
-    df, _ = vectors(spark, 6)
-    batch = df.withColumn("_seq", F.lit(1))
-    table.upsert(batch, "_seq")
-    df.limit(3).write.saveAsTable("vectors_test.t2__v9")
-    assert table.read().count() == 6
-    table.upsert(batch, "_seq")
-    assert table.read().count() == 6
-    assert 9 not in table._versions() and len(table._versions()) == 2
+    df, _ = vectors(spark, 60)
+    table.upsert(df.withColumn("_seq", F.lit(1)), "_seq")
+    before = files(spark, table)
+    assert set(before) == set(range(8))
+    bucket = spark.table(table.name).where("chunk_id = 'v005'").select("_bucket").first()[0]
+    table.upsert(df.where("chunk_id = 'v005'").withColumns({"company": F.lit("NEW"), "section": F.lit(9), "_seq": F.lit(1)}), "_seq")
+    after = files(spark, table)
+    assert {b for b in before if before[b] != after[b]} == {bucket}
+    assert [(r.section, r.company) for r in table.read().where("chunk_id = 'v005'").collect()] == [(9, "NEW")]
+    assert table.read().count() == 60
+    table.delete(F.col("chunk_id").isin("v005", "none"))
+    last = files(spark, table)
+    assert {b for b in after if after[b] != last.get(b)} == {bucket} and table.read().count() == 59
+    table.delete(F.lit(False))
+    assert files(spark, table) == last
+    table.delete(F.lit(True))
+    assert table.read().count() == 0 and files(spark, table) == {}
+    vt.drop_all(spark, "vectors_test")
+
+
+def test_null_vectors_are_stored_like_others(spark):
+    df, _ = vectors(spark, 3)
+    null = df.withColumns({"embedding": F.lit(None).cast("array<float>"), "_seq": F.lit(1), "section": F.lit(None).cast("int")})
+    table = vt.VectorTable(spark, "t3", "vectors_test", partition_by=["section"])
+    table.drop()
+    table.upsert(null, "_seq")
+    assert table.read().count() == 3 and table.dimension() is None
+    table.upsert(df.withColumn("_seq", F.lit(1)), "_seq")
+    table.upsert(null.limit(0), "_seq")
+    assert table.read().where("embedding is not null and section is not null").count() == 3 and table.dimension() == 16
     vt.drop_all(spark, "vectors_test")
+
+
+def test_searches_of_vectors_of_another_length_fail(spark):
+    df, m = vectors(spark, 5)
+    mixed = df.withColumn("embedding", F.when(F.col("chunk_id") == "v002", F.array(F.lit(1.0).cast("float"))).otherwise(F.col("embedding")))
+    for found in (lambda: search.search(mixed, m[0]), lambda: search.search_approximate(search.approximate_index(df), mixed, m[0])):
+        with pytest.raises(Exception, match="a stored vector has 1 entries, not 16"):
+            found().collect()
+    null = df.withColumn("embedding", F.when(F.col("chunk_id") != "v002", F.col("embedding")))
+    assert search.search(null, m[0], 5).collect()[-1].score is None

@@ -48,16 +48,25 @@ def search(
     key: str = "chunk_id",
     vector: str = "embedding",
 ) -> DataFrame:
-    """The ``k`` most similar rows with their ``score``, without the vectors; equal scores by key."""
+    """The ``k`` most similar rows with their ``score``, without the vectors; equal scores by key.
+
+    A null vector has a null score and comes last; a vector of another length than the query is an error.
+    """
     rows = table if where is None else table.filter(where)
     return (
-        rows.withColumn("score", vx.dot(vector, vx.literal(query_vector)))
+        rows.withColumn("score", vx.dot(checked(vector, len(query_vector)), vx.literal(query_vector)))
         .drop(vector)
         .orderBy(F.desc("score"), key)
         .limit(k)
     )
 
 
+def checked(vector: str, dim: int) -> Column:
+    """The vector itself; an error where it does not have ``dim`` entries."""
+    wrong = F.raise_error(F.concat(F.lit("a stored vector has "), F.size(vector).cast("string"), F.lit(f" entries, not {dim}")))
+    return F.when(F.col(vector).isNull() | (F.size(vector) == dim), F.col(vector)).otherwise(wrong)
+
+
 def search_batch(
     table: DataFrame,
     queries: DataFrame,
@@ -201,7 +210,7 @@ def search_approximate(
     from pyspark.ml.linalg import Vectors
 
     near = model.approxNearestNeighbors(
-        _as_ml_vector(table, vector), Vectors.dense(list(query_vector)), k, distCol="_distance"
+        _as_ml_vector(table.withColumn(vector, checked(vector, len(query_vector))), vector), Vectors.dense(list(query_vector)), k, distCol="_distance"
     )
     score = 1 - F.col("_distance") * F.col("_distance") / 2
     return near.withColumn("score", score).drop(vector, "_vector", "_hashes", "_distance")

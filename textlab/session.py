@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "textlab", master: str | None = None, **conf: str) -> SparkSession:
@@ -44,6 +45,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="textlab-checkpoint-"))
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path below the checkpoint folder, which all executors share."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: later steps neither evaluate it again nor need its lineage."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _plain(path: str) -> str:
     """A path without its scheme and closing slash."""
     return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/", path).rstrip("/")

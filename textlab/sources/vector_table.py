@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 
 from textlab.operators.profile import table_counts
 from textlab.operators.sizing import small_side
+from textlab.session import staged
+
+BUCKETS = 64  # a change writes at least one of these parts of a table
 
 
 def latest_wins(updates: DataFrame, key: str, seq: Sequence[Column | str]) -> DataFrame:
@@ -54,24 +57,24 @@ def first_rows(table: DataFrame, key: str, n: int, where: Column | None = None)
 class VectorTable:
     """Create, upsert, delete from and drop one table of ``database``.
 
-    The name is a view of the current version. A change writes the next version as a new table and
-    then replaces the view, so readers see either all of it or none; the version before stays until
-    the change after, for readers that are still on it.
+    Rows lie in partitions by the hash of their key (``_bucket``) and then by ``partition_by``. A change writes only the
+    partitions of the buckets it touches, by dynamic partition overwrite, and leaves all other files as they are. Each
+    partition is replaced when the write commits; a reader during a commit may see some of them before and some after.
     """
 
     def __init__(
         self, spark: SparkSession, name: str, database: str = "textlab_vectors",
-        key: str = "chunk_id", vector: str = "embedding", partition_by: Sequence[str] = (),
+        key: str = "chunk_id", vector: str = "embedding", partition_by: Sequence[str] = (), buckets: int = BUCKETS,
     ):
         self.spark, self.database, self.key, self.vector = spark, database, key, vector
-        self.table, self.name, self.partition_by = name, f"{database}.{name}", list(partition_by)
+        self.name, self.partition_by, self._buckets = f"{database}.{name}", list(partition_by), buckets
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.name)
 
     def read(self) -> DataFrame:
-        return self.spark.table(self.name)
+        return self.spark.table(self.name).drop("_bucket")
 
     def dimension(self) -> int | None:
         """The dimension of the stored vectors; None when nothing is stored."""
@@ -79,69 +82,87 @@ class VectorTable:
         row = self.read().where(sized).select(F.size(self.vector)).first() if self.exists() else None
         return row[0] if row else None
 
-    def ensure(self, schema: T.StructType, dim: int, recreate: bool = False) -> bool:
+    def buckets(self) -> int:
+        """The number of buckets the table was made with."""
+        return int(self.spark.catalog.getTable(self.name).description) if self.exists() else self._buckets
+
+    def ensure(self, schema: T.StructType, dim: int | None, recreate: bool = False) -> bool:
         """Keep a table whose vectors have ``dim`` entries; create a missing one. True if new.
 
         A table of another dimension is an error; only ``recreate`` drops it with all its rows.
         """
         if self.exists():
             stored = self.dimension()
-            if stored in (None, dim):
+            if stored is None or dim in (None, stored):
                 return False
             if not recreate:
                 raise ValueError(f"{self.name} holds vectors of dimension {stored}, not {dim}")
         self.drop()
-        self._replace(self.spark.createDataFrame([], schema))
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        parts = ", ".join(f"`{c}`" for c in ("_bucket", *self.partition_by))
+        self.spark.sql(f"CREATE TABLE {self.name} ({columns}, _bucket int) USING parquet PARTITIONED BY ({parts}) COMMENT '{self._buckets}'")
         return True
 
     def upsert(self, updates: DataFrame, seq: str) -> None:
         """Insert new keys and overwrite existing ones; of repeated keys the highest ``seq`` wins.
 
-        All vectors must have one dimension; ``seq`` orders the batch and is not stored.
+        All vectors must have one dimension, that of the table; null vectors are stored as they are. ``seq`` orders the
+        batch and is not stored. The batch is evaluated once.
         """
+        fresh = staged(latest_wins(updates, self.key, [seq]).drop(seq), "updates")
         sizes = F.when(F.col(self.vector).isNotNull(), F.size(self.vector))
-        low, high = updates.agg(F.min(sizes), F.max(sizes)).first()
-        if low is None:
-            return
+        low, high = fresh.agg(F.min(sizes), F.max(sizes)).first()
         if low != high:
             raise ValueError(f"vectors of different dimensions: {low} and {high}")
-        self.ensure(updates.drop(seq).schema, low)
-        self._replace(upserted(self.read(), updates, self.key, [seq], self.partition_by))
+        self.ensure(fresh.schema, low)
+        fresh = fresh.withColumn("_bucket", self._bucket())
+        touched = self._touched(fresh)
+        kept = self._stored(touched).join(small_side(fresh.select(self.key)), self.key, "left_anti")
+        self._overwrite(kept.unionByName(fresh), touched)
 
     def delete(self, condition: Column) -> None:
-        self._replace(without(self.read(), condition))
+        """Delete the rows for which the condition is true; only their buckets are written again."""
+        touched = self._touched(self.spark.table(self.name).where(condition))
+        self._overwrite(without(self._stored(touched), condition), touched)
 
     def drop(self) -> None:
-        self.spark.sql(f"DROP VIEW IF EXISTS {self.name}")
-        for number in self._versions():
-            self._drop_version(number)
-
-    def _versions(self) -> list[int]:
-        prefix = f"{self.table}__v"
-        names = [t.name for t in self.spark.catalog.listTables(self.database)]
-        return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
-
-    def _drop_version(self, number: int) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}__v{number}")
-
-    def _current(self) -> int | None:
-        """The version the view shows, kept in its comment."""
-        return int(self.spark.catalog.getTable(self.name).description) if self.exists() else None
-
-    def _replace(self, content: DataFrame) -> None:
-        before, versions = self._current(), self._versions()
-        number = max(versions, default=0) + 1
-        version = f"{self.name}__v{number}"
-        writer = content.write.format("parquet")
-        (writer.partitionBy(*self.partition_by) if self.partition_by else writer).saveAsTable(version)
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name} COMMENT '{number}' AS SELECT * FROM {version}")
-        for old in versions:
-            if old != before:
-                self._drop_version(old)
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(F.col(self.key).cast("string")), F.lit(self.buckets())).cast("int")
+
+    def _touched(self, rows: DataFrame) -> list[int]:
+        return [r[0] for r in rows.select("_bucket").distinct().collect()]  # at most as many as buckets
+
+    def _stored(self, touched: list[int]) -> DataFrame:
+        return self.spark.table(self.name).where(F.col("_bucket").isin(touched))
+
+    def _overwrite(self, content: DataFrame, touched: list[int]) -> None:
+        """Replace all rows of the touched buckets. A partition that loses its last row is not written, so it is dropped."""
+        if not touched:
+            return
+        parts = ["_bucket", *self.partition_by]
+        before = set(map(tuple, self._stored(touched).select(*parts).distinct().collect()))
+        after = set(map(tuple, content.select(*parts).distinct().collect()))
+        columns = self.spark.table(self.name).columns
+        place = next(r["data_type"] for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").collect() if r["col_name"] == "Location")
+        writer = content.select(*columns).hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts)
+        writer.option("partitionOverwriteMode", "dynamic").parquet(place)
+        for gone in before - after:
+            spec = ", ".join(f"`{c}` = {_literal(x)}" for c, x in zip(parts, gone))
+            self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({spec})")
+        self.spark.catalog.recoverPartitions(self.name)
+        self.spark.catalog.refreshTable(self.name)
+
+
+def _literal(value) -> str:
+    if value is None:
+        return "null"
+    return str(value) if isinstance(value, (int, float)) else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _names(spark: SparkSession, database: str) -> list[str]:
-    return [t.name for t in spark.catalog.listTables(database) if t.tableType == "VIEW" and t.namespace == [database]]
+    return [t.name for t in spark.catalog.listTables(database) if t.namespace == [database] and t.tableType != "TEMPORARY"]
 
 
 def list_tables(spark: SparkSession, database: str = "textlab_vectors") -> DataFrame:
