@@ -137,17 +137,18 @@ def batch_summary(spark, sf):
     return report.batch_summary(graded(spark, sf), "p_brand")
 
 
-TIMED = """timed AS (SELECT event_type AS test, CASE WHEN user_id % 2 = 0 THEN 'base' ELSE 'cand' END AS engine,
-  value AS ms FROM events),
-times AS (SELECT test, coalesce(sum(ms) FILTER (WHERE engine = 'base'), 0.0) AS baseline_ms,
-  coalesce(sum(ms) FILTER (WHERE engine = 'cand'), 0.0) AS candidate_ms FROM timed GROUP BY test),
+# Tests named "only base" have times of one side.
+TIMED = """timed AS (SELECT event_type || CASE WHEN user_id % 10 = 0 THEN ' only base' ELSE '' END AS test,
+  CASE WHEN user_id % 2 = 0 THEN 'base' ELSE 'cand' END AS engine, value AS ms FROM events),
+times AS (SELECT test, sum(ms) FILTER (WHERE engine = 'base') AS baseline_ms,
+  sum(ms) FILTER (WHERE engine = 'cand') AS candidate_ms FROM timed GROUP BY test),
 summary AS (SELECT *, baseline_ms / nullif(candidate_ms, 0) AS speedup,
-  CASE WHEN candidate_ms < baseline_ms THEN 'cand' ELSE 'base' END AS winner FROM times)"""
+  CASE WHEN candidate_ms < baseline_ms THEN 'cand' WHEN candidate_ms >= baseline_ms THEN 'base' END AS winner FROM times)"""
 
 
 def timed(spark, sf):
     return v.table(spark, sf, "events").select(
-        F.col("event_type").alias("test"),
+        F.concat("event_type", F.when(F.col("user_id") % 10 == 0, " only base").otherwise("")).alias("test"),
         F.when(F.col("user_id") % 2 == 0, "base").otherwise("cand").alias("engine"),
         F.col("value").alias("ms"),
     )
@@ -163,7 +164,7 @@ def ab_summary(spark, sf):
     return _rounded(report.ab_summary(timed(spark, sf)))
 
 
-@query("ab_totals", f"""WITH {TIMED}, totals AS (SELECT sum(baseline_ms) AS b, sum(candidate_ms) AS c,
+@query("ab_totals", f"""WITH {TIMED}, totals AS (SELECT sum(baseline_ms) FILTER (WHERE winner IS NOT NULL) AS b, sum(candidate_ms) FILTER (WHERE winner IS NOT NULL) AS c,
   count(*) FILTER (WHERE winner = 'cand') AS candidate_wins,
   count(*) FILTER (WHERE winner = 'base') AS baseline_wins FROM summary)
 SELECT round(b, 4) AS total_baseline_ms, round(c, 4) AS total_candidate_ms, candidate_wins, baseline_wins,

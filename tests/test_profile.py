@@ -1,6 +1,7 @@
 import datetime
 
 from textlab.operators import profile
+from textlab.operators import profile_states as ps
 from textlab.plans import comparisons, overview
 
 
@@ -70,6 +71,36 @@ def test_overall_rows(spark):
     assert ("dates", "earliest", None, "2020-01-01") in report
 
 
+def parts_of(stats):
+    return {part: rows(df) for part, df in stats.items() if part != "states"}
+
+
+def test_states_of_two_halves_merge_to_those_of_the_whole(spark):
+    df = frame(spark)
+    stated = lambda part: ps.profile_states(part, ["name", "section"], "filingDate", "sentence")
+    halves = [stated(df.where("coalesce(section, 0) = 1")), stated(df.where("coalesce(section, 0) <> 1"))]
+    whole = stated(df)
+    assert rows(ps.merged(*halves)) == rows(whole) == rows(ps.merged(whole, stated(df.limit(0))))
+    got = parts_of(overview.report_parts(ps.merged(*halves), df, distinct=["name"]))
+    assert got == parts_of(overview.overall_stats(df, distinct=["name"]))
+    assert got["shape"] == rows(profile.shape(df)) and got["missing_data"] == rows(profile.missing_data(df))
+    assert got["text_statistics"] == rows(profile.text_stats(df, "sentence")) and got["date_range"] == rows(profile.date_range(df, "filingDate"))
+    assert got["unique_values"] == rows(profile.unique_counts(df, ["name"])) and got["top_groups"] == rows(profile.top_groups(df, "name", 10))
+    assert got["section_distribution"] == rows(profile.top_groups(df, "section", 15))
+    approx = overview.overall_stats(df, distinct=["name", "sentence"], approx=True)
+    assert rows(approx["unique_values"]) == {("name", 3), ("sentence", 4)}
+
+
+def test_the_report_reads_its_table_once(spark, tmp_path):
+    frame(spark).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    stated = ps.profile_states(df, ["name"], "filingDate", "sentence")
+    assert stated._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    report = overview.as_rows(df, overview.overall_stats(df, distinct=["name"]))
+    assert str(tmp_path) not in report._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(str(tmp_path) in f for f in report.inputFiles())
+
+
 def test_empty_input(spark):
     df = frame(spark).limit(0)
     stats = overview.overall_stats(df, distinct=["name"])

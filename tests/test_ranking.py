@@ -51,3 +51,27 @@ def test_weighted_quantile(spark):
     df = spark.createDataFrame([(1.0, 3), (2.0, 1), (9.0, 2), (None, 5)], "v double, w int")
     assert order_statistics.exact_quantile(df, "v", 0.5, "w") == np.percentile([1, 1, 1, 2, 9, 9], 50)
     assert order_statistics.exact_quantile(df.limit(0), "v", 0.5) is None
+
+
+@pytest.mark.parametrize("listed,grid", [(100_000, 1_000), (50, 20), (1, 7)])
+def test_sketch_brackets_and_narrows(spark, monkeypatch, listed, grid):
+    monkeypatch.setattr(order_statistics, "LIST_VALUES", listed)
+    monkeypatch.setattr(order_statistics, "GRID", grid)
+    rng = np.random.default_rng(4)
+    for values in (rng.normal(size=3000), np.repeat([5.0, 5.0, 1.0, 9.5], 500), np.r_[np.zeros(2500), rng.random(400)]):
+        df = spark.createDataFrame([(float(x),) for x in values] + [(None,), (float("nan"),)], "v double").repartition(3)
+        ranks = [0, 1, len(values) // 3, len(values) // 2, len(values) - 2, len(values) - 1]
+        assert order_statistics.nth_values(df, "v", ranks) == [np.sort(values)[r] for r in ranks]
+        for p in (0.0, 0.01, 0.5, 0.95, 1.0):
+            assert order_statistics.exact_quantile(df, "v", p) == pytest.approx(np.quantile(values, p))
+
+
+def test_a_quantile_takes_three_jobs(spark):
+    df = spark.range(0, 50_000, 1, 4).selectExpr("id * 0.37d as v")
+    spark.sparkContext.setJobGroup("quantile", "quantile")
+    try:
+        found = order_statistics.exact_quantile(df, "v", 0.99)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("quantile")) <= 3
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found == pytest.approx(0.37 * 0.99 * 49_999)

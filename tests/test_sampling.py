@@ -27,7 +27,45 @@ def test_sample_off_or_everything(spark, n):
     assert sampling.sample_n(frame(spark), n, ["id"]).count() == 500
 
 
+def jobs(spark, name, run):
+    """What ``run`` returns and the number of jobs it started."""
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        return run(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_small_samples_read_their_rows_once_for_the_cut(spark):
+    rows = frame(spark).repartition(5).cache()
+    rows.count()
+    for name, make in (("one", lambda: sampling.sample_n(rows, 60, ["id"])), ("strata", lambda: sampling.stratified(rows, 100, ["label"], ["id"]))):
+        made, started = jobs(spark, f"sample-{name}", make)
+        assert started <= 2
+        assert made.count() in (60, 102, 101, 100, 103, 104)
+
+
+@pytest.mark.parametrize("kept", [1, 3, 50])
+def test_hashes_are_cut_between_batches_and_merged_over_tasks(spark, kept):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "40")
+    try:
+        rows = spark.range(200_000).selectExpr("id", "id % 3 as g", "cast(null as string) as s").repartition(3)
+        hashes, made = sampling.smallest_hashes(rows, ["g", "s"], ["id"], 42, kept)
+        assert made <= 3 * 3 * (kept + 1) and hashes.agg({"_rows": "sum"}).first()[0] == 200_000
+        got = {r.id for r in sampling.sample_n(rows, kept, ["id"]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == set(sorted(range(200_000), key=digest)[:kept])
+
+
+def test_large_samples_are_cut_by_hash_prefixes(spark, monkeypatch):
+    want = [{r.id for r in sampling.sample_n(frame(spark), 60, ["id"]).collect()}, {r.id for r in sampling.stratified(frame(spark), 90, ["label"], ["id"]).collect()}]
+    monkeypatch.setattr(sampling, "BOTTOM_ROWS", 0)
+    assert [{r.id for r in sampling.sample_n(frame(spark), 60, ["id"]).collect()}, {r.id for r in sampling.stratified(frame(spark), 90, ["label"], ["id"]).collect()}] == want
+
+
 def test_narrowing_steps_give_the_same_cut(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "BOTTOM_ROWS", 0)
     monkeypatch.setattr(sampling, "RANK_ROWS", 2)
     monkeypatch.setattr(sampling, "PREFIX", 1)
     got = {r.id for r in sampling.sample_n(frame(spark), 123, ["id"]).collect()}

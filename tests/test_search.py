@@ -164,6 +164,33 @@ def test_embed_with_a_model(spark):
         assert row.embedding_dim == 2
 
 
+def test_stored_vectors_are_made_once(spark, tmp_path):
+    calls = tmp_path / "calls"
+
+    def loader():
+        def model(texts):
+            with open(calls, "a") as f:
+                f.writelines(f"{len(texts)},{max(map(len, texts)) - min(map(len, texts))}\n" for _ in [0])
+            return [[float(len(t)), 1.0] for t in texts]
+        return model
+
+    rows = [(i, "x" * (i % 40)) for i in range(200)] + [(200, None), (201, "new text")]
+    df = spark.createDataFrame(rows, "id int, text string").repartition(5)
+    store = str(tmp_path / "store")
+    want = {r.id: r.embedding for r in embedding.embed(df, loader=loader, partitions=2).collect()}
+    calls.unlink()
+    first = embedding.embed_stored(df.where("id < 200"), store, loader, batch_size=8, partitions=2)
+    assert {r.id: r.embedding for r in first.collect()} == {i: v for i, v in want.items() if i < 200}
+    batches = [tuple(map(int, x.split(","))) for x in calls.read_text().split()]
+    assert sum(n for n, _ in batches) == 40 and max(d for _, d in batches) <= 8
+    calls.write_text("")
+    again = embedding.embed_stored(df.where("id < 200"), store, loader)
+    assert again.columns == ["id", "text", "embedding", "embedding_dim"]
+    assert {r.id: r.embedding for r in again.collect()} == {r.id: r.embedding for r in first.collect()} and not calls.read_text()
+    assert {r.id: r.embedding for r in embedding.embed_stored(df, store, loader).collect()} == want
+    assert calls.read_text() == "1,0\n"
+
+
 def test_truncation(spark):
     df = spark.createDataFrame([("a b c",), ("a  b",), ("",)], "text string")
     assert tuple(embedding.truncation_check(df, limit=2).first()) == (1, 3)

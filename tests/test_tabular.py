@@ -161,3 +161,8 @@ def test_timing_comparison(spark):
     assert (total.overall_speedup, total.candidate_wins, total.baseline_wins, total.faster) == (
         pytest.approx(16 / 7), 2, 1, "cand")
     assert report.ab_totals(report.ab_summary(df.limit(0))).first()["overall_speedup"] is None
+    alone = spark.createDataFrame([("a", "base", 5.0), ("b", "cand", 1.0)], df.schema)
+    total = report.ab_totals(report.ab_summary(alone)).first()
+    assert (total.total_baseline_ms, total.total_candidate_ms, total.overall_speedup, total.faster) == (0.0, 0.0, None, None)
+    total = report.ab_totals(report.ab_summary(df.unionByName(alone))).first()
+    assert (total.total_baseline_ms, total.total_candidate_ms, total.faster) == (16.0, 7.0, "cand")

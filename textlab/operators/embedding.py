@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from textlab.functions import text as tx
 from textlab.functions import vector as vx
+from textlab.session import staged
+from textlab.sources.files import exists
 
+STORED = "_hash binary, embedding array<float>"
 # A loader runs once per Python worker and returns a function from texts to one vector per text.
 EmbedderLoader = Callable[[], Callable[[Sequence[str]], Sequence[Sequence[float]]]]
 
@@ -49,6 +52,28 @@ def embed(
     return rows.withColumn("embedding", run_model(text)).withColumn("embedding_dim", F.size("embedding"))
 
 
+def embed_stored(
+    df: DataFrame, store: str, loader: EmbedderLoader, text: str = "text", batch_size: int = 16, partitions: int | None = None,
+) -> DataFrame:
+    """``embed`` with a model, whose vectors are kept below ``store`` by the SHA-256 of the text: only new texts go to the model.
+
+    Equal texts are embedded once. New ones are range-partitioned and sorted by length, so that the texts of a batch need about
+    the same work. Vectors are added when all of them are made; a failed run adds none. Null is embedded like the empty text.
+    One store belongs to one model.
+    """
+    spark, rows = df.sparkSession, df.withColumn("_hash", F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256)))
+    known = spark.read.schema(STORED).parquet(store) if exists(spark, store) else spark.createDataFrame([], STORED)
+    texts = rows.groupBy("_hash").agg(F.first(F.coalesce(F.col(text), F.lit(""))).alias("text"))
+    new = staged(texts.join(known.select("_hash"), "_hash", "left_anti"), "new-texts")
+    if not new.isEmpty():
+        size = F.length("text")
+        parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        sorted_ = new.repartitionByRange(parts, size, "_hash").sortWithinPartitions(size)
+        embed(sorted_, "text", loader=loader, batch_size=batch_size).select("_hash", "embedding").write.mode("append").parquet(store)
+    stored = spark.read.schema(STORED).parquet(store).dropDuplicates(["_hash"])
+    return rows.drop("embedding", "embedding_dim").join(stored, "_hash", "left").drop("_hash").withColumn("embedding_dim", F.size("embedding"))
+
+
 def _embed_by_hash(df: DataFrame, text: str, dim: int) -> DataFrame:
     """Word counts per bucket, normalised; a text without words keeps the zero vector."""
     from pyspark.ml.feature import CountVectorizerModel, Normalizer

@@ -1,15 +1,22 @@
-"""Exact order statistics of a numeric column by repeated narrowing histograms."""
+"""Exact order statistics of a numeric column: a rank sketch brackets them, one exact pass finds them.
+
+The sketch is Spark's mergeable quantile summary (Greenwald and Khanna, SIGMOD 2001), whose ranks are off by at most
+``rows / ACCURACY``. Counted rows (``weight``) go through repeated narrowing histograms instead, as that summary takes no weights.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from math import floor, isinf
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BINS = 4096
 LIST_VALUES = 100_000
+ACCURACY = 20_000          # of the sketch; one part in so many of the rows
+GRID = 1_000               # equal steps of the sketch that any rank is bracketed by
 
 
 def _ranked(df: DataFrame, value: str, weight: str | None) -> DataFrame:
@@ -25,18 +32,79 @@ def _ranked(df: DataFrame, value: str, weight: str | None) -> DataFrame:
 def nth_values(df: DataFrame, value: str, ranks: list[int], weight: str | None = None) -> list:
     """The values at the given 0-based ranks of the ascending order; nulls and NaN are not ranked.
 
-    Each pass is one aggregation to at most 4,096 bins, combined before the shuffle. A rank's bin
-    becomes the next range until the range holds few distinct values. ``weight`` is a row count.
+    ``weight`` is a row count; with it, each pass is one aggregation to at most 4,096 bins, and a rank's bin
+    becomes the next range until the range holds few distinct values.
     """
     rows = _ranked(df, value, weight)
-    return _select(rows, rows.agg(F.min("v"), F.max("v"), F.sum("w")).first(), ranks)
+    if weight:
+        return _select(rows, rows.agg(F.min("v"), F.max("v"), F.sum("w")).first(), ranks)
+    sketch = rank_sketch(rows)
+    _check(sketch["n"], ranks)
+    return _between(rows, sketch, ranks)
+
+
+def rank_sketch(rows: DataFrame, near: Sequence[float] = ()) -> dict:
+    """``n`` and the sketch of the values at equal steps and on both sides of the shares ``near``, in one job without a shuffle."""
+    shares = sorted({i / GRID for i in range(GRID + 1)} | {min(max(p + d / ACCURACY, 0.0), 1.0) for p in near for d in (-2, 2)})
+    seen = Observation()
+    points = F.percentile_approx("v", shares, ACCURACY).alias("points")
+    rows.observe(seen, F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"), points).write.format("noop").mode("overwrite").save()
+    found = seen.get
+    return {"n": found["n"] or 0, "low": found["low"], "high": found["high"], "shares": shares, "points": found["points"] or []}
+
+
+def _bracket(sketch: dict, rank: int) -> tuple:
+    """Values between which the value at ``rank`` lies for certain."""
+    n, slack = sketch["n"], sketch["n"] / ACCURACY + 1
+    low = [v for p, v in zip(sketch["shares"], sketch["points"]) if p * n + slack <= rank]
+    high = [v for p, v in zip(sketch["shares"], sketch["points"]) if p * n - slack >= rank + 1]
+    return (max(low) if low else sketch["low"]), (min(high) if high else sketch["high"])
+
+
+def _between(rows: DataFrame, sketch: dict, ranks: list[int]) -> list:
+    """The values at ``ranks``, given a sketch of ``rows`` (whole numbers that a double does not hold are narrowed by histograms): rows below their bracket are counted and those inside listed
+    with their counts in one pass; a bracket of very many rows is narrowed by a sketch of its own."""
+    if isinstance(sketch["low"], int) and max(-sketch["low"], sketch["high"]) >= 2**53:
+        return _select(rows, (sketch["low"], sketch["high"], sketch["n"]), ranks)
+    if isinf(float(sketch["low"])) or isinf(float(sketch["high"])):
+        raise ValueError("order statistics need finite values")
+    groups: list[tuple] = []
+    for rank in sorted(set(ranks)):
+        low, high = _bracket(sketch, rank)
+        if groups and low <= groups[-1][1]:
+            groups[-1] = (groups[-1][0], max(high, groups[-1][1]), [*groups[-1][2], rank])
+        else:
+            groups.append((low, high, [rank]))
+    found: dict[int, float] = {}
+    for low, high, own in groups:
+        if low == high:
+            found.update(dict.fromkeys(own, low))
+            continue
+        within = (sum(1 for p in sketch["points"] if low < p < high) + 2) * sketch["n"] / GRID
+        if within > LIST_VALUES and (low, high) != (sketch["low"], sketch["high"]):
+            under = rows.where(F.col("v") < F.lit(low)).count()
+            inner = rows.where(F.col("v").between(low, high))
+            found.update(zip(own, _between(inner, rank_sketch(inner), [r - under for r in own])))
+            continue
+        inside = F.when(F.col("v") >= F.lit(low), F.col("v"))
+        counted = rows.where(F.col("v") <= F.lit(high)).groupBy(inside.alias("v")).agg(F.count(F.lit(1)).alias("n")).collect()
+        counted.sort(key=lambda r: (r["v"] is not None, r["v"] or 0))
+        upto = 0
+        for r in counted:
+            found.update(dict.fromkeys([k for k in own if upto <= k < upto + r["n"] and r["v"] is not None], r["v"]))
+            upto += r["n"]
+    return [found[r] for r in ranks]
+
+
+def _check(total: int, ranks: list[int]) -> None:
+    if not total or any(not 0 <= r < total for r in ranks):
+        raise ValueError(f"ranks {ranks} outside 0..{(total or 0) - 1}")
 
 
 def _select(rows: DataFrame, extent, ranks: list[int]) -> list:
     """The narrowing itself, given the smallest value, the largest value and the row count."""
     low, high, total = extent
-    if total is None or any(not 0 <= r < total for r in ranks):
-        raise ValueError(f"ranks {ranks} outside 0..{(total or 0) - 1}")
+    _check(total, ranks)
     if isinf(low) or isinf(high):
         raise ValueError("order statistics need finite values")
     found: dict[int, float] = {}
@@ -73,13 +141,13 @@ def _select(rows: DataFrame, extent, ranks: list[int]) -> list:
 def exact_quantile(df: DataFrame, value: str, p: float, weight: str | None = None) -> float | None:
     """The ``p`` quantile with linear interpolation between neighbours; None for no rows."""
     rows = _ranked(df, value, weight)
-    extent = rows.agg(F.min("v"), F.max("v"), F.sum("w")).first()
-    n = extent[2]
+    extent = rows.agg(F.min("v"), F.max("v"), F.sum("w")).first() if weight else None
+    sketch = None if weight else rank_sketch(rows, [p])
+    n = extent[2] if weight else sketch["n"]
     if not n:
         return None
     place = p * (n - 1)
     first = floor(place)
-    if first >= n - 1:
-        return _select(rows, extent, [n - 1])[0]
-    a, b = _select(rows, extent, [first, first + 1])
-    return a + (b - a) * (place - first)
+    ranks = [n - 1] if first >= n - 1 else [first, first + 1]
+    found = _select(rows, extent, ranks) if weight else _between(rows, sketch, ranks)
+    return found[0] + (found[-1] - found[0]) * (place - first) if len(found) > 1 else found[0]

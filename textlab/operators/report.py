@@ -62,14 +62,19 @@ def ab_summary(
 
 
 def ab_totals(summary: DataFrame, baseline: str = "base", candidate: str = "cand") -> DataFrame:
-    """One row over all tests: total times, overall speedup, wins, verdict."""
-    return summary.agg(
-        F.coalesce(F.sum("baseline_ms"), F.lit(0.0)).alias("total_baseline_ms"),
-        F.coalesce(F.sum("candidate_ms"), F.lit(0.0)).alias("total_candidate_ms"),
+    """One row over all tests that both sides have a time for: total times, overall speedup, wins, verdict.
+
+    A test that lacks a side is in no total; without any other the verdict is null.
+    """
+    both = F.col("baseline_ms").isNotNull() & F.col("candidate_ms").isNotNull()
+    compared = summary.agg(
+        F.coalesce(F.sum(F.when(both, F.col("baseline_ms"))), F.lit(0.0)).alias("total_baseline_ms"),
+        F.coalesce(F.sum(F.when(both, F.col("candidate_ms"))), F.lit(0.0)).alias("total_candidate_ms"),
         F.count_if(F.col("winner") == candidate).alias("candidate_wins"),
         F.count_if(F.col("winner") == baseline).alias("baseline_wins"),
-    ).withColumns({
+    )
+    return compared.withColumns({
         "overall_speedup": F.try_divide("total_baseline_ms", "total_candidate_ms"),
-        "faster": F.when(F.col("total_candidate_ms") < F.col("total_baseline_ms"), F.lit(candidate))
-        .otherwise(F.lit(baseline)),
+        "faster": F.when(F.col("candidate_wins") + F.col("baseline_wins") == 0, F.lit(None).cast("string"))
+        .when(F.col("total_candidate_ms") < F.col("total_baseline_ms"), F.lit(candidate)).otherwise(F.lit(baseline)),
     })

@@ -1,20 +1,25 @@
 """Exact, repeatable samples and splits.
 
-Rows are ordered by ``md5(seed|key)``. A sample is everything up to a cut in that order, so the
-rows themselves are only filtered, never sorted: the cut is found from counts per hash prefix.
+Rows are ordered by ``md5(seed|key)``. A sample is everything up to a cut in that order, so the rows themselves are only
+filtered, never sorted. The cut of a small sample comes from the smallest hashes of every task, which one pass keeps;
+that of a large sample or a split, which grows with the rows, from counts per hash prefix.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from textlab.operators.sizing import small_side
+from textlab.operators.sizing import MAX_SMALL_ROWS, small_side
+from textlab.session import shared_path
 
 PREFIX = 3                 # hex digits per narrowing step: 4,096 counts per stratum
 RANK_ROWS = 1_000_000      # rows of one prefix that may be ranked in one task
+BOTTOM_ROWS = 20_000       # rows of a stratum up to which a sample keeps its smallest hashes in one pass
+MERGE_ROWS = 2_000_000     # hashes of all tasks that one task may rank
 
 
 def hash_order(key: Sequence[str], seed: int) -> Column:
@@ -68,6 +73,83 @@ def quota_cuts(
     )
 
 
+def smallest_hashes(df: DataFrame, by: Sequence[str], key: Sequence[str], seed: int, n: int) -> tuple[DataFrame, int]:
+    """One pass: the ``n`` smallest hashes of every stratum in every task and its number of rows, written to the shared
+    folder, and how many rows that made.
+
+    Hashes are rows ``(_stratum, _at)``, counts ``(_stratum, _rows)`` with a null ``_at``. Two such tables are merged by
+    their union, as the smallest of all are among the smallest of each. A task holds at most a few times ``n`` rows per stratum.
+    """
+    stratum = F.to_json(F.struct(*by), {"ignoreNullFields": "false"}) if by else F.lit("")
+    rows = df.select(stratum.alias("_stratum"), F.struct(hash_order(key, seed).alias("h"), *[F.col(k) for k in key]).alias("_at"))
+    order = [("h", "ascending")] + [(f"k{i}", "ascending") for i in range(len(key))]
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def cut(tables):
+            whole = pa.concat_tables(tables)
+            fields = whole.column("_at").combine_chunks().flatten()
+            keyed = pa.table([whole.column("_stratum"), *fields], names=["s", "h", *[f"k{i}" for i in range(len(key))]])
+            sorted_ = pc.sort_indices(keyed, sort_keys=[("s", "ascending"), *order], null_placement="at_start").to_numpy()
+            codes = whole.column("_stratum").combine_chunks().dictionary_encode().indices.to_numpy()[sorted_]
+            heads = np.flatnonzero(np.diff(codes, prepend=-1))
+            place = np.arange(len(codes)) - np.repeat(heads, np.diff(np.append(heads, len(codes))))
+            return whole.take(pa.array(sorted_[place < n]))
+
+        held, count, seen, schema = [], 0, {}, None
+        for batch in batches:
+            schema = batch.schema
+            for c in pc.value_counts(batch.column("_stratum")).to_pylist():
+                seen[c["values"]] = seen.get(c["values"], 0) + c["counts"]
+            held.append(pa.Table.from_batches([batch]))
+            count += batch.num_rows
+            if count > 4 * n * len(seen) + 65_536:
+                held = [cut(held)]
+                count = held[0].num_rows
+        if schema is None:
+            return
+        kept, names = cut(held).combine_chunks(), list(seen)
+        written = pa.schema([(name, schema.field(name).type) for name in ("_stratum", "_at")] + [("_rows", pa.int64())])
+        parts = [
+            (kept.column("_stratum").combine_chunks(), kept.column("_at").combine_chunks(), pa.nulls(kept.num_rows, pa.int64())),
+            (pa.array(names, written.field("_stratum").type), pa.nulls(len(names), written.field("_at").type), pa.array([seen[x] for x in names], pa.int64())),
+        ]
+        for columns in parts:
+            yield pa.RecordBatch.from_arrays(list(columns), schema=written)
+
+    made = rows.mapInArrow(run, T.StructType([*[T.StructField(f.name, f.dataType) for f in rows.schema], T.StructField("_rows", T.LongType())]))
+    path, seen = shared_path(df.sparkSession, "hashes"), Observation()
+    made.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    return df.sparkSession.read.schema(made.schema).parquet(path), seen.get["n"]
+
+
+def bottom_cuts(
+    df: DataFrame, by: Sequence[str], key: Sequence[str], seed: int, n: int, quota: Callable[[Column, Column], Column]
+) -> list:
+    """``(_stratum, _size, _total, _cut)`` of every stratum; ``quota(size, total)`` is at most ``n`` and a null cut means none.
+
+    One pass over ``df``, and one over the hashes it keeps, in a single task where they are few.
+    """
+    hashes, made = smallest_hashes(df, by, key, seed, n)
+    hashes = hashes.coalesce(1) if made <= MERGE_ROWS else hashes
+    stratum = Window.partitionBy("_stratum")
+    ranked = hashes.withColumns({
+        "_size": F.sum("_rows").over(stratum),
+        "_rank": F.row_number().over(stratum.orderBy(F.col("_at").isNull(), "_at")),
+    }).where((F.col("_rank") <= n) | F.col("_at").isNull())
+    # Counts of strata come first; there are few of them, so that one task adds them up.
+    sizes = Window.partitionBy(F.lit(0))
+    first = F.when(F.col("_at").isNull() & F.col("_rows").isNotNull(), F.col("_rows"))
+    small = ranked.withColumn("_total", F.sum(first).over(sizes)) if made <= MERGE_ROWS else ranked.withColumn(
+        "_total", F.lit(hashes.agg(F.sum("_rows")).first()[0] or 0))
+    wanted = F.least(quota(F.col("_size"), F.col("_total")).cast("long"), F.col("_size"))
+    at_cut = F.when((F.col("_rank") == wanted) & F.col("_at").isNotNull(), F.col("_at"))
+    return small.groupBy("_stratum").agg(F.max("_size").alias("_size"), F.max("_total").alias("_total"), F.max(at_cut).alias("_cut")).collect()
+
+
 def _mark(df: DataFrame, by: Sequence[str], key: Sequence[str], seed: int, cuts: DataFrame) -> DataFrame:
     """Add ``_stratum``, ``_at`` and the stratum's ``_cut`` (null where nothing is wanted)."""
     marked = df.withColumns({
@@ -81,18 +163,21 @@ def _take(df: DataFrame, by: Sequence[str], key: Sequence[str], seed: int, cuts:
     return _mark(df, by, key, seed, cuts).filter(F.col("_at") <= F.col("_cut")).drop("_stratum", "_at", "_cut")
 
 
+def _bound(df: DataFrame, key: Sequence[str], seed: int, cut) -> Column:
+    """The rows up to a cut in the order of ``hash_order`` and the keys."""
+    at = F.struct(hash_order(key, seed).alias("h"), *[F.col(k) for k in key])
+    return at <= F.struct(F.lit(cut["h"]).alias("h"), *[F.lit(cut[k]).cast(df.schema[k].dataType).alias(k) for k in key])
+
+
 def sample_n(df: DataFrame, n: int | None, key: Sequence[str], seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows; all rows when ``n`` is falsy or not below the row count. ``key`` must be unique."""
     if not n:
         return df
+    if n <= BOTTOM_ROWS:
+        found = bottom_cuts(df, [], key, seed, n, lambda size, total: F.lit(n))
+        return df.filter(_bound(df, key, seed, found[0]["_cut"])) if found and found[0]["_size"] > n else df
     cut = quota_cuts(df, [], key, seed, lambda size: F.lit(n)).select("_cut").first()
-    if cut is None:
-        return df
-    at = F.struct(hash_order(key, seed).alias("h"), *[F.col(k) for k in key])
-    bound = F.struct(
-        F.lit(cut[0]["h"]).alias("h"), *[F.lit(cut[0][k]).cast(df.schema[k].dataType).alias(k) for k in key]
-    )
-    return df.filter(at <= bound)
+    return df if cut is None else df.filter(_bound(df, key, seed, cut[0]))
 
 
 def stratified(
@@ -101,14 +186,25 @@ def stratified(
     """Proportional sample: per stratum ``min(size, max(floor, int(n * size / total)))`` rows."""
     if not n:
         return df
+
+    def quota(size: Column, total: Column) -> Column:
+        return F.greatest(F.lit(floor), F.floor(F.lit(n) * size / total).cast("long"))
+
+    if max(n, floor) <= BOTTOM_ROWS:
+        found = bottom_cuts(df, by, key, seed, max(n, floor), quota)
+        if not found or n >= found[0]["_total"]:
+            return df
+        at = F.struct(hash_order(key, seed).alias("h"), *[F.col(k) for k in key])
+        cuts = df.sparkSession.createDataFrame(
+            [(r["_stratum"], r["_cut"]) for r in found if r["_cut"]],
+            T.StructType([T.StructField("_stratum", T.StringType()), T.StructField("_cut", df.select(at.alias("a")).schema["a"].dataType)]))
+        name = F.to_json(F.struct(*by), {"ignoreNullFields": "false"}) if by else F.lit("")
+        return df.withColumns({"_stratum": name, "_at": at}).join(F.broadcast(cuts) if len(found) <= MAX_SMALL_ROWS else cuts, "_stratum").filter(
+            F.col("_at") <= F.col("_cut")).drop("_stratum", "_at", "_cut").select(*df.columns)
     total = df.count()
     if n >= total:
         return df
-    cuts = quota_cuts(
-        df, by, key, seed,
-        lambda size: F.greatest(F.lit(floor), F.floor(F.lit(n) * size / F.lit(total)).cast("long")),
-    )
-    return _take(df, by, key, seed, cuts)
+    return _take(df, by, key, seed, quota_cuts(df, by, key, seed, lambda size: quota(size, F.lit(total))))
 
 
 def stratified_split(

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textlab.operators import profile
+from textlab.operators import profile_states as ps
+from textlab.session import staged
 
 
 def overall_stats(
@@ -20,26 +22,40 @@ def overall_stats(
     lists: Sequence[str] = (),
     approx: bool = False,
 ) -> dict[str, DataFrame]:
-    """All parts of the report. ``scalars`` holds rows, distinct counts, dates and null counts from
-    one aggregation; the other parts are small group counts."""
-    scalars = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[profile.distinct_with_null(c, approx).cast("long").alias(f"unique {c}") for c in distinct],
-        F.min(date).cast("string").alias("earliest"),
-        F.max(date).cast("string").alias("latest"),
-        *[n.alias(f"missing {c}") for c, n in profile.null_counts(df.columns).items()],
-    )
-    # both listings add up the same counts, so the table is read once for the two of them
-    pairs = df.groupBy(group, section).agg(F.count(F.lit(1)).alias("_rows"))
+    """All parts of the report, from the states of one scan, which are written once (``states``).
+
+    ``scalars`` holds rows, distinct counts, dates and null counts. With ``approx``, distinct columns other than ``group``
+    and ``section`` are counted by a sketch in a second scan instead of being listed; ``lists`` takes a scan each.
+    """
+    counted = [group, section, *([] if approx else distinct)]
+    states = staged(ps.profile_states(df, counted, date, text), "profile")
+    return report_parts(states, df, group, section, distinct, lists, approx)
+
+
+def report_parts(
+    states: DataFrame, df: DataFrame, group: str = "name", section: str = "section", distinct: Sequence[str] = ("name", "cik", "section"),
+    lists: Sequence[str] = (), approx: bool = False,
+) -> dict[str, DataFrame]:
+    """The report of stored or merged states; ``df`` gives the columns and, where asked for, what the states do not hold."""
+    listed = [c for c in distinct if not approx or c in (group, section)]
+    scalars = ps.scalars(states, df.columns, listed)
+    rest = [c for c in distinct if c not in listed]
+    if rest:
+        found = df.agg(*[profile.distinct_with_null(c, True).cast("long").alias(c) for c in rest]).first()
+        scalars = scalars.withColumns({f"unique {c}": F.lit(found[c]) for c in rest})
+    uniques = scalars.select(*[F.col(f"`unique {c}`").alias(c) for c in distinct])
+    missing = scalars.select(*[F.col(f"`missing {c}`").alias(c) for c in df.columns])
     parts = {
+        "states": states,
         "scalars": scalars,
-        "shape": profile.shape(df),
-        "unique_values": profile.unique_counts(df, distinct, approx),
-        "top_groups": profile.top_groups(pairs, group, 10, weight="_rows"),
-        "date_range": profile.date_range(df, date),
-        "text_statistics": profile.text_stats(df, text),
-        "section_distribution": profile.top_groups(pairs, section, 15, weight="_rows"),
-        "missing_data": profile.missing_data(df),
+        "shape": scalars.select(
+            F.col("rows").alias("total_rows"), F.lit(len(df.columns)).cast("long").alias("total_columns"), F.lit(",".join(df.columns)).alias("column_names")),
+        "unique_values": profile.unpivot_row(uniques, "column_name", "unique_count"),
+        "top_groups": ps.top_values(states, group, df.schema[group].dataType, 10),
+        "date_range": scalars.select("earliest", "latest"),
+        "text_statistics": ps.text_statistics(states),
+        "section_distribution": ps.top_values(states, section, df.schema[section].dataType, 15),
+        "missing_data": profile.unpivot_row(missing, "column_name", "n_missing").filter("n_missing > 0"),
     }
     for column in lists:
         parts[f"unique_values_{column}"] = profile.unique_exploded(df, column, approx)
