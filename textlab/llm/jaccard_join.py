@@ -13,6 +13,7 @@ from textlab.llm.words import NOT_SPACE, mix, slices, words
 
 LEVELS = 6                 # longest prefix extension that is considered
 BUCKET_POSTINGS = 1 << 20  # postings that one group of the sieve holds on average
+TARGET_SETS = 1 << 18      # sets whose counts one group adds up, at least as many groups as shuffle partitions
 SIEVES = (20, 3)           # parts of a set by which the two sieves' prefixes are longer
 
 
@@ -55,13 +56,14 @@ def document_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_shingles long, key long")
 
 
-def shared_counts(texts: DataFrame, width: int, percent: int, part_of: int, buckets: int) -> DataFrame:
+def shared_counts(texts: DataFrame, width: int, percent: int, part_of: int, buckets: int, targets: int) -> DataFrame:
     """``key, shared``: for each distinct set at least the number of its prefix shingles that another set's prefix holds too.
 
     The order is that of the hashes. The prefix of a set of n has ``spare(n) + m`` shingles, m = n // part_of + 1, and linked sets share
     at least m of them. Postings travel as arrays, one row per batch and bucket of hashes. A shingle of several sets within
     a batch is settled there and only two of its postings travel, so a very common one is no hot group. Copies in several
-    batches may be counted more than once, never less.
+    batches may be counted more than once, never less. A bucket's counts travel as arrays too, one row for each of
+    ``targets`` groups of sets, and are added up there.
     """
 
     def cut(batches):
@@ -104,11 +106,29 @@ def shared_counts(texts: DataFrame, width: int, percent: int, part_of: int, buck
         twice = np.zeros(len(token), bool)
         twice[1:] = (token[1:] == token[:-1]) & (key[1:] == key[:-1])
         counted = np.unique(key[repeat & ~settled & ~twice], return_counts=True)
-        found, counts = np.concatenate([join("own", np.uint64), counted[0]]), np.concatenate([join("counts", np.int64), counted[1]])
+        found, counts = _added(np.concatenate([join("own", np.uint64), counted[0]]), np.concatenate([join("counts", np.int64), counted[1]]))
+        target = found % np.uint64(targets)
+        order = np.argsort(target, kind="stable")
+        edges = np.searchsorted(target[order], np.arange(targets + 1))
+        rows = [(t, found[order[edges[t] : edges[t + 1]]].tobytes(), counts[order[edges[t] : edges[t + 1]]].tobytes()) for t in np.flatnonzero(np.diff(edges)).tolist()]
+        return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], names=["target", "keys", "counts"])
+
+    def add(table):
+        join = lambda name, kind: np.concatenate([np.frombuffer(x.as_py(), kind) for x in table.column(name)])
+        found, counts = _added(join("keys", np.uint64), join("counts", np.int64))
         return pa.table({"key": found.astype(np.int64), "shared": counts})
 
     rows = texts.select("text").mapInArrow(cut, "bucket long, tokens binary, keys binary, settled binary, own binary, counts binary")
-    return rows.groupBy("bucket").applyInArrow(meet, "key long, shared long").groupBy("key").agg(F.sum("shared").alias("shared"))
+    met = rows.groupBy("bucket").applyInArrow(meet, "target long, keys binary, counts binary")
+    return met.groupBy("target").applyInArrow(add, "key long, shared long")
+
+
+def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and the sums of their counts."""
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[starts], np.add.reduceat(counts, starts) if len(keys) else counts
 
 
 def _runs(token: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -198,13 +218,16 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     total = known.agg(F.sum("n_shingles")).first()[0] or 0
     distinct = staged(known.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n")), "distinct")
     # Two sieves leave the texts that can have a link: the second sees only what passes the first.
-    left, chosen = texts.where("doc_id is not null"), distinct
+    # Only their ids are written; texts are read again, by a semi join.
+    all_, chosen = texts.where("doc_id is not null"), distinct
+    left, count = all_, distinct.count()
+    targets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), count // TARGET_SETS + 1)
     for part_of in SIEVES:
         share = (100 - percent) / 100 + 1 / part_of
         buckets = max(1, int(total * share) // BUCKET_POSTINGS + 1)
-        passed = shared_counts(left, width, percent, part_of, buckets).join(chosen, "key").where(F.col("shared") >= F.floor(F.col("n") / part_of) + 1)
+        passed = shared_counts(left, width, percent, part_of, buckets, targets).join(chosen, "key").where(F.col("shared") >= F.floor(F.col("n") / part_of) + 1)
         chosen = staged(passed.select("key", "doc_id", "n"), "passed")
-        left = staged(left.join(chosen.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
+        left = all_.join(chosen.select("doc_id"), "doc_id", "left_semi")
         total = chosen.agg(F.sum("n")).first()[0] or 0
 
     def make(batches):

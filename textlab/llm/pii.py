@@ -11,7 +11,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textlab.llm.staging import set_aside
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = "A-Za-z0-9._%+-"
@@ -327,6 +326,18 @@ def added_spans(model: SemiMarkov, text: str, base: list[tuple[int, int, int]])
 SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
 
+def _few(batches):
+    for batch in batches:
+        for at in range(0, batch.num_rows, 500):
+            yield batch.slice(at, 500)
+
+
+def _searched(model: SemiMarkov, text: str) -> tuple[list, list]:
+    """Spans of the patterns, and those with what the model adds."""
+    known = base_spans(text)
+    return known, known + added_spans(model, text, known)
+
+
 def find_pii(docs: DataFrame, model: SemiMarkov) -> DataFrame:
     """Every row of ``docs`` with ``base`` and ``spans``: arrays of (kind, start, end) in code points, ordered by kind, then start.
 
@@ -340,39 +351,31 @@ def find_pii(docs: DataFrame, model: SemiMarkov) -> DataFrame:
 
     def run(batches):
         own = SemiMarkov(*shipped.value)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part, base, spans = batch.slice(at, 500), [], []
-                for text in part.column("text"):
-                    text = text.as_py() or ""
-                    known = base_spans(text)
-                    base.append(known)
-                    spans.append(sorted(known + added_spans(own, text, known)))
-                columns = [pa.array([[{"kind": KINDS[k], "start": a, "end": b} for k, a, b in sorted(row)] for row in rows], pa.list_(SPAN)) for rows in (base, spans)]
-                yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=[*part.schema.names, "base", "spans"])
+        for part in _few(batches):
+            found = [_searched(own, text.as_py() or "") for text in part.column("text")]
+            columns = [pa.array([[{"kind": KINDS[k], "start": a, "end": b} for k, a, b in sorted(pair[i])] for pair in found], pa.list_(SPAN)) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=[*part.schema.names, "base", "spans"])
 
     return docs.mapInArrow(run, docs.withColumn("base", F.lit(None).cast(kind)).withColumn("spans", F.lit(None).cast(kind)).schema)
 
 
 def redact(docs: DataFrame, model: SemiMarkov) -> DataFrame:
     """``docs`` with every span of a text replaced by its kind in brackets; spans that overlap become one, named after the first. All columns stay."""
-    aside, columns = set_aside(docs, ("base", "spans"))
-    found = find_pii(aside, model).select(*columns, F.col("spans").alias("_found"))
+    docs = docs.withColumn("text", F.col("text").cast("string"))
+    shipped = docs.sparkSession.sparkContext.broadcast((model.features, model.weights))
+
+    def masked(own: SemiMarkov, text: str) -> str:
+        parts, at = [], 0
+        for kind, start, end in sorted(_searched(own, text)[1], key=lambda s: (s[1], -s[2], s[0])):
+            if start >= at:
+                parts += [text[at:start], f"[{KINDS[kind].upper()}]"]
+            at = max(at, end)
+        return "".join([*parts, text[at:]])
 
     def run(batches):
-        for batch in batches:
-            texts = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("_found").to_pylist()):
-                if spans:
-                    parts, at = [], 0
-                    for s in sorted(spans, key=lambda s: (s["start"], -s["end"])):
-                        if s["start"] >= at:
-                            parts += [text[at : s["start"]], f"[{s['kind'].upper()}]"]
-                        at = max(at, s["end"])
-                    text = "".join([*parts, text[at:]])
-                texts.append(text)
-            place = batch.schema.get_field_index("text")
-            out = batch.set_column(place, "text", pa.array(texts, pa.string()))
-            yield out.select([n for n in out.schema.names if n != "_found"])
-
-    return found.mapInArrow(run, docs.withColumn("text", F.col("text").cast("string")).schema)
+        own = SemiMarkov(*shipped.value)
+        for part in _few(batches):
+            texts = [None if text is None else masked(own, text) for text in part.column("text").to_pylist()]
+            yield part.set_column(part.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -234,16 +234,16 @@ def decode_bytes(model: Model, ids: np.ndarray, bounds: np.ndarray) -> list[byte
     return [flat[a + flat.startswith(b" ", a, b) : b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
 
 
-def encode(docs: DataFrame, model: Model, column: str = "text") -> DataFrame:
-    """Every row of ``docs`` with ``ids``, the pieces of its whole text.
+def encode(docs: DataFrame, model: Model, column: str = "text", decoded: str | None = None) -> DataFrame:
+    """Every row of ``docs`` with ``ids``, the pieces of its whole text, and, where asked for, in ``decoded`` what they stand for.
 
     A space goes before the text and each space is the marker; nothing else is normalised. Null and empty texts have
     no ids. A character without a piece becomes its UTF-8 bytes; so does a marker character in a text, which keeps
     decoding exact. A row whose segments do not decode to its text (two segments with one hash) is solved anew by itself.
-    A column named ``ids`` is replaced; other columns and repeated rows stay.
+    A column named like a result is replaced; other columns and repeated rows stay.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(model)
-    docs = docs.drop("ids").withColumn(column, F.col(f"`{column}`").cast("string"))
+    docs = docs.drop("ids", *([decoded] if decoded else [])).withColumn(column, F.col(f"`{column}`").cast("string"))
 
     def run(batches):
         encoder = Encoder(shipped.value)
@@ -252,15 +252,19 @@ def encode(docs: DataFrame, model: Model, column: str = "text") -> DataFrame:
             raw, offsets = text_bytes(part.column(column))
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
             flat = raw.tobytes()
-            wrong = [i for i, text in enumerate(decode_bytes(encoder.model, ids, bounds)) if text != flat[offsets[i] : offsets[i + 1]]]
+            back = decode_bytes(encoder.model, ids, bounds)
+            wrong = [i for i, text in enumerate(back) if text != flat[offsets[i] : offsets[i + 1]]]
             if wrong:
                 rows = lists.to_pylist()
                 for i in wrong:
-                    rows[i] = Encoder(encoder.model).encode(part.column(column).slice(i, 1))[0].tolist()
+                    own, ends = Encoder(encoder.model).encode(part.column(column).slice(i, 1))
+                    rows[i], back[i] = own.tolist(), decode_bytes(encoder.model, own, ends)[0]
                 lists = pa.array(rows, pa.list_(pa.int32()))
-            yield part.append_column("ids", lists)
+            coded = part.append_column("ids", lists)
+            yield coded.append_column(decoded, pa.array([t.decode("utf-8", "replace") for t in back], pa.string())) if decoded else coded
 
-    return docs.mapInArrow(run, docs.withColumn("ids", F.lit(None).cast("array<int>")).schema)
+    made = docs.withColumn("ids", F.lit(None).cast("array<int>"))
+    return docs.mapInArrow(run, (made.withColumn(decoded, F.lit("")) if decoded else made).schema)
 
 
 def decode(docs: DataFrame, model: Model, column: str = "ids", into: str = "decoded") -> DataFrame:
