@@ -37,7 +37,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``docs`` with ``ids`` and ``n_pieces``; the text is what the ids decode to."""
     model = unigram.load(public_tokenizers.path(PIECES))
-    coded = unigram.decode(unigram.encode(docs, model), model, into="decoded")
+    coded = unigram.encode(docs, model, decoded="decoded")
     kept = [c for c in docs.columns if c not in ("ids", "decoded", "n_pieces")]
     return coded.withColumn("text", F.when(F.col("text").isNotNull(), F.col("decoded"))).select(*kept, "ids", F.size("ids").alias("n_pieces"))
 
