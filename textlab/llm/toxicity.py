@@ -17,7 +17,7 @@ LEAST_DOCS = 3            # terms of fewer sampled documents get no weight
 EPOCHS, BATCH, RATE, PENALTY = 12, 256, 0.02, 2e-4
 DAMPING = 0.5             # terms count by the number of a document's terms to minus half this power
 SEED = 11
-MODEL = pa.schema([("bias", pa.float64()), ("bucket", pa.list_(pa.int64())), ("w", pa.list_(pa.float64())), ("v", pa.list_(pa.float64()))])
+PIECE = 1 << 20           # terms that are counted at once
 
 
 def terms(part: pa.RecordBatch, active: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -61,14 +61,17 @@ def fit(bounds: np.ndarray, bucket: np.ndarray, label: np.ndarray, damping: floa
     Terms are not screened by what they tell alone: some tell something only together.
     """
     rng = np.random.default_rng(SEED)
-    active = np.bincount(bucket, minlength=BUCKETS) >= LEAST_DOCS
-    place = np.full(BUCKETS, -1)
+    met = np.zeros(BUCKETS, np.int64)
+    for i in range(0, len(bucket), PIECE):  # all terms of the sample are held once, in 32 bits
+        met += np.bincount(bucket[i : i + PIECE], minlength=BUCKETS)
+    active = met >= LEAST_DOCS
+    place = np.full(BUCKETS, -1, np.int32)
     used = np.flatnonzero(active)
     place[used] = np.arange(len(used))
-    doc = np.repeat(np.arange(len(label)), np.diff(bounds))
     keep = active[bucket]
-    doc, at = doc[keep], place[bucket[keep]]
-    bounds = np.searchsorted(doc, np.arange(len(label) + 1))
+    at = place[bucket[keep]]
+    bounds = np.concatenate([np.zeros(1, np.int32), np.cumsum(keep, dtype=np.int32)])[bounds].astype(np.int64)
+    del keep
     rate = float(np.clip(label.mean() if len(label) else 0.0, 1e-3, 1 - 1e-3))
     model = {"bias": np.log(rate / (1 - rate)), "w": np.zeros(len(used), np.float32),
              "v": rng.normal(0, 0.02, (len(used), FACTORS)).astype(np.float32), "damping": damping}
@@ -135,20 +138,21 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
         lists = lists if isinstance(lists, pa.ListArray) else lists.chunk(0)
         order = np.lexsort([lists.value_lengths().to_numpy(), table.column("label").to_numpy()])  # the same whatever the tasks
         lists = lists.take(pa.array(order))
-        model = fit(np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]), lists.flatten().to_numpy().astype(np.int64),
+        model = fit(np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]), lists.flatten().to_numpy(),
                     table.column("label").to_numpy()[order])
         used = np.flatnonzero(model["active"])
-        return pa.table({"bias": [model["bias"]], "bucket": [used.tolist()], "w": [model["w"][used].tolist()], "v": [model["v"][used].ravel().tolist()]}, schema=MODEL)
+        parts = (used.astype("<i4"), model["w"][used].astype("<f4"), model["v"][used].astype("<f4"))
+        return pa.table([pa.array([model["bias"]]), *(pa.array([x.tobytes()], pa.binary()) for x in parts)], names=["bias", "bucket", "w", "v"])
 
     # Copies of a sampled id bring rows of their own; the bound holds for them too.
     rows = texts.mapInArrow(extract, "one long, label double, terms array<int>").orderBy(F.xxhash64("terms", "label")).limit(sample)
-    found = rows.groupBy("one").applyInArrow(learn, "bias double, bucket array<long>, w array<double>, v array<double>").collect()
+    found = rows.groupBy("one").applyInArrow(learn, "bias double, bucket binary, w binary, v binary").collect()
     model = {"bias": -6.0, "w": np.zeros(BUCKETS, np.float32), "v": np.zeros((BUCKETS, FACTORS), np.float32), "damping": DAMPING,
              "active": np.zeros(BUCKETS, bool)}
     for row in found:
-        used = np.array(row["bucket"], np.int64)
-        model["bias"], model["active"][used], model["w"][used] = row["bias"], True, row["w"]
-        model["v"][used] = np.array(row["v"], np.float32).reshape(-1, FACTORS)
+        used = np.frombuffer(row["bucket"], "<i4")
+        model["bias"], model["active"][used], model["w"][used] = row["bias"], True, np.frombuffer(row["w"], "<f4")
+        model["v"][used] = np.frombuffer(row["v"], "<f4").reshape(-1, FACTORS)
     return model
 
 
