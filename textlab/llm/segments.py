@@ -10,9 +10,10 @@ CACHE_SEGMENTS = 400_000
 
 
 class SegmentCache:
-    """Encodes each distinct segment once; beyond ``CACHE_SEGMENTS`` it starts anew, so its memory is bounded."""
+    """Encodes each distinct segment once; beyond ``limit`` segments, or ids eight times as many, it starts anew, so its memory is bounded."""
 
-    def __init__(self):
+    def __init__(self, limit: int = CACHE_SEGMENTS):
+        self.limit = limit
         self.forget()
 
     def forget(self):
@@ -24,7 +25,7 @@ class SegmentCache:
         distinct, first, place = np.unique(code, return_index=True, return_inverse=True)
         at = np.minimum(np.searchsorted(self.hash, distinct), max(len(self.hash) - 1, 0))
         new = np.flatnonzero(self.hash[at] != distinct) if len(self.hash) else np.arange(len(distinct))
-        if len(new) and len(self.hash) + len(new) > CACHE_SEGMENTS:
+        if len(new) and (len(self.hash) + len(new) > self.limit or len(self.ids) > 8 * self.limit):
             self.forget()
             new = np.arange(len(distinct))
         if len(new):

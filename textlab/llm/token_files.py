@@ -20,8 +20,9 @@ SHARD_TOKENS = 1 << 20    # a shard ends with the document that reaches this
 LEAST_COUNT = 5           # a rule takes 12 bytes and saves 3 a place: pairs of fewer places take less room without
 RANGE = 4                 # pairs down to this part of the most frequent get rules in the same round
 GRAMMAR = 1 << 24         # symbols are stored in three bytes
+CACHED_PIECES = 1_500_000 # about 70 MB with their ids
 CHAIN = 256               # pieces that the tokenizers library gets as one text
-SIEVE_BITS = 16           # chosen pairs are first looked up by so many bits of a hash
+SIEVE_BITS = 20           # pairs are first counted, and chosen ones looked up, by so many bits of a hash
 SHARDS = (
     "part int, shard int, doc_ids array<bigint>, symbols array<int>, tokens array<bigint>, "
     "vocabulary int, low binary, high binary, left binary, right binary, lengths binary"
@@ -39,7 +40,7 @@ class Tokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer as Library
 
-        self.library, self.cache = Library.from_file(path), SegmentCache()
+        self.library, self.cache = Library.from_file(path), SegmentCache(CACHED_PIECES)
         vocabulary = self.library.get_vocab()
         self.bytes_of = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
         self.bytes_of[list(vocabulary.values())] = [len(t) for t in vocabulary]  # a character of a byte-level token is a byte
@@ -108,14 +109,22 @@ def compress(ids: np.ndarray, last: np.ndarray, vocabulary: int, least: int = LE
     places that overlap are taken from the left. ``last`` marks the last id of a document, after which no pair goes on.
     """
     symbols, left, right = ids.astype(np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    while len(symbols) > 1:
-        pairs = np.where(last[:-1], -1, symbols[:-1] * GRAMMAR + symbols[1:])
+    ends = np.flatnonzero(last)
+    open_ = ~last[:-1]
+    while True:
+        # A pair that is too rare stays so: only places of the others and those around replaced ones are looked at again.
+        at = np.flatnonzero(open_)
+        pairs = symbols[at] * GRAMMAR + symbols[at + 1]
+        # Only pairs whose cell of a short hash holds enough places are sorted and counted.
+        cell = _short(pairs)
+        often = np.flatnonzero((np.bincount(cell, minlength=1 << SIEVE_BITS) >= least)[cell])
+        at, pairs, cell = at[often], pairs[often], cell[often]
         ranked = np.sort(pairs)
-        ranked = ranked[np.searchsorted(ranked, 0) :]
         # A pair of enough places is equal to the one ``least - 1`` further on, at all but its last places.
         head = ranked[: max(len(ranked) - least + 1, 0)]
-        found, counts = np.unique(head[head == ranked[least - 1 :]], return_counts=True)
-        counts += least - 1
+        head = head[head == ranked[least - 1 :]]
+        starts = np.flatnonzero(np.concatenate([[True], head[1:] != head[:-1]])) if len(head) else np.zeros(0, np.int64)
+        found, counts = head[starts], np.diff(np.append(starts, len(head))) + least - 1
         if not len(counts):
             break
         chosen = found[counts >= max(least, counts.max() // RANGE)]
@@ -123,10 +132,10 @@ def compress(ids: np.ndarray, last: np.ndarray, vocabulary: int, least: int = LE
             break
         sieve = np.zeros(1 << SIEVE_BITS, bool)
         sieve[_short(chosen)] = True
-        maybe = np.flatnonzero(sieve[_short(pairs)])
-        at = np.minimum(np.searchsorted(chosen, pairs[maybe]), len(chosen) - 1)
-        met = chosen[at] == pairs[maybe]
-        places, rules = maybe[met], at[met]
+        maybe = np.flatnonzero(sieve[cell])
+        nearest = np.minimum(np.searchsorted(chosen, pairs[maybe]), len(chosen) - 1)
+        met = chosen[nearest] == pairs[maybe]
+        places, rules = at[maybe[met]], nearest[met]
         # In a run of neighbouring places every second one is taken.
         new_run = np.concatenate([[True], np.diff(places) > 1])
         run_start = places[np.flatnonzero(new_run)][np.cumsum(new_run) - 1]
@@ -138,13 +147,19 @@ def compress(ids: np.ndarray, last: np.ndarray, vocabulary: int, least: int = LE
         left, right = np.concatenate([left, chosen // GRAMMAR]), np.concatenate([right, chosen % GRAMMAR])
         keep = np.ones(len(symbols), bool)
         keep[places + 1] = False
-        last[places] = last[places + 1]
-        symbols, last = symbols[keep], last[keep]
+        mask = np.zeros(len(symbols), bool)
+        mask[at], mask[places], mask[np.maximum(places - 1, 0)] = True, True, True
+        ends -= np.searchsorted(places + 1, ends, "right")
+        symbols, open_ = symbols[keep], mask[keep]
+        open_[ends] = False
+        open_ = open_[:-1]
+    last = np.zeros(len(symbols), bool)
+    last[ends] = True
     return symbols, last, left, right
 
 
 def _short(pairs: np.ndarray) -> np.ndarray:
-    return (pairs.astype(np.uint64) * MULTIPLIER) >> np.uint64(64 - SIEVE_BITS)
+    return ((pairs.view(np.uint64) * MULTIPLIER) >> np.uint64(64 - SIEVE_BITS)).view(np.int64)
 
 
 def rule_lengths(left: np.ndarray, right: np.ndarray, vocabulary: int) -> np.ndarray:
