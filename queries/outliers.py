@@ -9,6 +9,7 @@ from queries.family import Family
 from textlab.operators import outliers as ou
 from textlab.operators.forest import fit_isolation_forest
 from textlab.plans.outlier_report import outlier_report, quick_report
+from textlab.session import staged
 
 family = Family()
 query = family.query
@@ -68,7 +69,7 @@ def outlier_top10(spark, sf):
 
 
 def forest(spark, sf):
-    rows = ou.outlier_features(v.sentences(spark, sf))
+    rows = staged(ou.outlier_features(v.sentences(spark, sf)).select(*KEY, *ou.FEATURES), "features")
     return rows, fit_isolation_forest(rows, ou.FEATURES, KEY)
 
 
@@ -89,7 +90,9 @@ def report(spark, sf):
     return parts["summary"]
 
 
-@query("outlier_report_quick")
+@query("outlier_report_quick", f"""WITH {v.SENTENCES} SELECT least(count(*), 3000) AS total_sentences,
+  CAST(0.02 AS DOUBLE) AS contamination_rate, 'Isolation Forest' AS algorithm FROM sentences""")
 def report_quick(spark, sf):
+    """The quick report of the first rows, whose number is what the report is cut to."""
     rows = v.sentences(spark, sf).withColumn("row", F.col("docID") * (1 << 32) + F.col("sentenceID"))
-    return quick_report(rows, "row", 1 << 62)["summary"]
+    return quick_report(rows, "row", 3000)["summary"].select("total_sentences", "contamination_rate", "algorithm")

@@ -18,7 +18,7 @@ from textlab.session import shared_path
 
 PREFIX = 3                 # hex digits per narrowing step: 4,096 counts per stratum
 RANK_ROWS = 1_000_000      # rows of one prefix that may be ranked in one task
-BOTTOM_ROWS = 20_000       # rows of a stratum up to which a sample keeps its smallest hashes in one pass
+BOTTOM_ROWS = 50_000       # rows of a stratum up to which a sample keeps its smallest hashes in one pass
 MERGE_ROWS = 2_000_000     # hashes of all tasks that one task may rank
 
 

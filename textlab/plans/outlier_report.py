@@ -12,7 +12,8 @@ from textlab.operators.order_statistics import nth_values
 from textlab.operators.outliers import (
     FEATURES, flag_above, outlier_features, outlier_profile, outlier_summary, outlier_top, threshold,
 )
-from textlab.session import ensure_checkpoint_dir
+from textlab.session import staged
+
 
 def outlier_report(
     df: DataFrame,
@@ -26,15 +27,14 @@ def outlier_report(
 ) -> dict[str, DataFrame]:
     """summary, profile, top rows and flagged rows.
 
-    Equal features have equal scores, so the cut and the tables come from one row per different
-    feature combination with its count; texts are read again only for the flagged rows.
+    Keys and features are written once, and the forest, the cut and the tables come from them. Equal features have
+    equal scores, so the cut needs one row per different feature combination with its count; texts are read again only
+    for the flagged rows.
     """
     rows = outlier_features(df, text)
-    model = fit_isolation_forest(rows, FEATURES, key, trees, psi, seed)
-    ensure_checkpoint_dir(df.sparkSession)
-    combinations = model.score(
-        rows.groupBy(*FEATURES).agg(F.count(F.lit(1)).alias("n"))
-    ).checkpoint()
+    slim = staged(rows.select(*key, *FEATURES), "features")
+    model = fit_isolation_forest(slim, FEATURES, key, trees, psi, seed)
+    combinations = staged(model.score(slim.groupBy(*FEATURES).agg(F.count(F.lit(1)).alias("n"))), "combinations")
     cut = threshold(combinations, "score", contamination, weight="n")
     counted = flag_above(combinations, "score", cut)
     flagged = flag_above(model.score(rows), "score", cut)
