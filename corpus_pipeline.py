@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textlab.llm import decontamination, jaccard_join, pii, toxicity, unigram
-from textlab.llm.staging import staged
+from textlab.llm.staging import set_aside, staged
 
 TOXIC_SCORE = 0.5
 SHINGLE_WORDS, SIMILARITY_PERCENT = 5, 80
@@ -17,8 +17,8 @@ PIECES = "piece_bpe_32k.model"
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.5 in a model of the labels outside the held-out fold."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(toxicity.fold(F.col("doc_id")) != 0)
-    kept = toxicity.score_toxicity(docs.withColumnRenamed("score", "score_") if "score" in docs.columns else docs, toxicity.train(docs, labels)).where(F.col("score") < TOXIC_SCORE).drop("score")
-    return (kept.withColumnRenamed("score_", "score") if "score" in docs.columns else kept).select(*docs.columns)
+    aside, columns = set_aside(docs, ["score"])
+    return toxicity.score_toxicity(aside, toxicity.train(docs, labels)).where(F.col("score") < TOXIC_SCORE).select(*columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -134,11 +134,13 @@ def _join(docs: DataFrame, windows: DataFrame, n: int) -> DataFrame:
                 reports.append(_report(found, doc, hits))
             yield _with_reports(part.drop_columns(["content", "candidates"]), reports)
 
-    keyed = docs.withColumn("content", F.sha2("text", 256))
+    aside, columns = set_aside(docs, ("content", "candidates"))
+    keyed = aside.withColumn("content", F.sha2("text", 256))
     texts = keyed.select("content", "text").where("text is not null").dropDuplicates(["content"])
     cuts = texts.mapInArrow(cut, "hash long, n long, content string, first long")
     candidates = cuts.join(windows, ["hash", "n"]).groupBy("content").agg(F.collect_list(F.struct("first", "n", "window", "items")).alias("candidates"))
-    return keyed.join(staged(candidates, "candidates"), "content", "left").select(*keyed.columns, "candidates").mapInArrow(judge, _output(docs))
+    found = keyed.join(staged(candidates, "candidates"), "content", "left").select(*keyed.columns, "candidates").mapInArrow(judge, _output(aside))
+    return found.select(*columns, *HITS)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, action: str = "drop", n: int = N) -> DataFrame:

@@ -158,8 +158,9 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.9, vec_id: str = "vec_
     """
     rows = vectors.drop("n_links", "component_id", "kept")
     value = F.transform(F.col(f"`{vector}`"), lambda x: x.cast("double") + F.lit(0.0))
+    packed = rows.select(F.struct("*").alias("row"), F.col(f"`{vec_id}`").alias("id"), value.alias("v"))  # no name of a column can clash
     good = F.coalesce(F.expr("size(v) > 0 AND forall(v, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity')) AND exists(v, x -> x <> 0)"), F.lit(False))
-    valid = rows.select(F.col(f"`{vec_id}`").alias("id"), value.alias("v")).where(good)
+    valid = packed.select("id", "v").where(good)
     distinct = staged(valid.groupBy("v").agg(F.count("*").alias("copies"), F.min("id").alias("least")).select(
         F.monotonically_increasing_id().alias("key"), F.col("v").alias("vector"), "copies", "least"), "vectors")
     sizes = [r[0] for r in distinct.select(F.size("vector")).distinct().toLocalIterator()]
@@ -173,11 +174,8 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.9, vec_id: str = "vec_
     firsts = staged(joined.groupBy("component").agg(F.min("least").alias("first")), "firsts")
     known = staged(joined.join(firsts, "component").select(
         F.col("vector").alias("v"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n"), "first"), "known")
-    marked = rows.withColumn("v", value).withColumn("v", F.when(good, F.col("v"))).withColumn(
-        "v", F.coalesce("v", F.array(F.xxhash64(F.col(f"`{vec_id}`")).cast("double"), F.lit(float("nan")))))
-    data = [F.col(f"`{c}`") for c in rows.columns]
-    component = F.coalesce("first", F.col(f"`{vec_id}`"))
+    marked = packed.withColumn("v", F.when(good, F.col("v"))).withColumn(
+        "v", F.coalesce("v", F.array(F.xxhash64("id").cast("double"), F.lit(float("nan")))))
+    component = F.coalesce("first", "id")
     return marked.join(known, "v", "left").select(
-        *data, F.coalesce("n", F.lit(0)).alias("n_links"), component.alias("component_id"),
-        component.eqNullSafe(F.col(f"`{vec_id}`")).alias("kept"),
-    )
+        "row.*", F.coalesce("n", F.lit(0)).alias("n_links"), component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept"))

@@ -28,7 +28,9 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def set_aside(df: DataFrame, names: Iterable[str]) -> tuple[DataFrame, list[Column]]:
-    """``df`` with its columns of these names renamed, and what selects all its columns under their own names again."""
-    names = set(names)
-    own = {c: f"_own_{c}" for c in df.columns if c in names}
+    """``df`` with its columns of these names, in any case, renamed, and what selects all its columns under their own names again."""
+    names, prefix = {n.lower() for n in names}, "_own_"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix = "_" + prefix
+    own = {c: prefix + c for c in df.columns if c.lower() in names}
     return df.withColumnsRenamed(own), [F.col(f"`{own.get(c, c)}`").alias(c) for c in df.columns]

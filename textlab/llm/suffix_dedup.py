@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textlab.llm.staging import staged
+from textlab.llm.staging import set_aside, staged
 from textlab.llm.words import BYTE_CODES, MULTIPLIER, mix, slices, text_bytes
 
 LENGTH = 100               # bytes of a string that counts as repeated
@@ -254,7 +254,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
     Any two equal strings have the same anchor, so only pieces of text around anchors that occur twice are sorted, and pieces of one anchor meet in one shard.
     """
     names = ("kept", "n_bytes", "n_removed", "n_spans")
-    docs = docs.drop(*names).withColumn("text", F.col("text").cast("string"))
+    docs, own_names = set_aside(docs.drop(*names).withColumn("text", F.col("text").cast("string")), ("h", "own_id", "first_id", "ranges"))
     keyed = docs.withColumn("h", F.xxhash64("text"))
     own = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     texts = keyed.where(F.octet_length("text") >= length).select(own.alias("doc_id"), "h", "text")
@@ -292,4 +292,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
                 added = pa.array(out, pa.struct([("kept", pa.binary()), *[(n, pa.int64()) for n in names[1:]]])).flatten()
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in columns], *added], names=[*columns, *names])
 
-    return joined.select(*columns, "own_id", "first_id", "ranges").mapInArrow(cut, schema)
+    return joined.select(*columns, "own_id", "first_id", "ranges").mapInArrow(cut, schema).select(*own_names, *names)
