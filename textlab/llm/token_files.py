@@ -114,25 +114,29 @@ def compress(ids: np.ndarray, last: np.ndarray, vocabulary: int, least: int = LE
     while True:
         # A pair that is too rare stays so: only places of the others and those around replaced ones are looked at again.
         at = np.flatnonzero(open_)
-        pairs = symbols[at] * GRAMMAR + symbols[at + 1]
-        # Only pairs whose cell of a short hash holds enough places are sorted and counted.
+        pairs = symbols.take(at)
+        pairs *= GRAMMAR
+        pairs += symbols[1:].take(at)
+        # A pair has at most the places of its cell of a short hash, so only pairs of cells of enough places are sorted and counted.
         cell = _short(pairs)
-        often = np.flatnonzero((np.bincount(cell, minlength=1 << SIEVE_BITS) >= least)[cell])
-        at, pairs, cell = at[often], pairs[often], cell[often]
-        ranked = np.sort(pairs)
-        # A pair of enough places is equal to the one ``least - 1`` further on, at all but its last places.
-        head = ranked[: max(len(ranked) - least + 1, 0)]
-        head = head[head == ranked[least - 1 :]]
-        starts = np.flatnonzero(np.concatenate([[True], head[1:] != head[:-1]])) if len(head) else np.zeros(0, np.int64)
-        found, counts = head[starts], np.diff(np.append(starts, len(head))) + least - 1
+        places_of_cell = np.bincount(cell, minlength=1 << SIEVE_BITS).astype(np.int32)
+        own = places_of_cell.take(cell)
+        enough = max(least, int(own.max(initial=0)) // RANGE ** 2)
+        while True:
+            some = np.flatnonzero(own >= enough)
+            found, counts = _frequent(pairs.take(some), enough)
+            wanted = max(least, int(counts.max(initial=0)) // RANGE)
+            if wanted >= enough:
+                break
+            enough = wanted  # the most frequent pair has fewer places than its cell promised
         if not len(counts):
             break
-        chosen = found[counts >= max(least, counts.max() // RANGE)]
+        chosen = found[counts >= wanted]
         if vocabulary + len(left) + len(chosen) >= GRAMMAR:
             break
         sieve = np.zeros(1 << SIEVE_BITS, bool)
         sieve[_short(chosen)] = True
-        maybe = np.flatnonzero(sieve[cell])
+        maybe = some[sieve.take(cell.take(some))]
         nearest = np.minimum(np.searchsorted(chosen, pairs[maybe]), len(chosen) - 1)
         met = chosen[nearest] == pairs[maybe]
         places, rules = at[maybe[met]], nearest[met]
@@ -148,7 +152,8 @@ def compress(ids: np.ndarray, last: np.ndarray, vocabulary: int, least: int = LE
         keep = np.ones(len(symbols), bool)
         keep[places + 1] = False
         mask = np.zeros(len(symbols), bool)
-        mask[at], mask[places], mask[np.maximum(places - 1, 0)] = True, True, True
+        mask[at] = own >= least
+        mask[places], mask[np.maximum(places - 1, 0)] = True, True
         ends -= np.searchsorted(places + 1, ends, "right")
         symbols, open_ = symbols[keep], mask[keep]
         open_[ends] = False
@@ -158,6 +163,16 @@ def compress(ids: np.ndarray, last: np.ndarray, vocabulary: int, least: int = LE
     return symbols, last, left, right
 
 
+def _frequent(pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of at least ``least`` places, ascending, and their places' number."""
+    ranked = np.sort(pairs)
+    # A pair of enough places is equal to the one ``least - 1`` further on, at all but its last places.
+    head = ranked[: max(len(ranked) - least + 1, 0)]
+    head = head[head == ranked[least - 1 :]]
+    starts = np.flatnonzero(np.concatenate([[True], head[1:] != head[:-1]])) if len(head) else np.zeros(0, np.int64)
+    return head[starts], np.diff(np.append(starts, len(head))) + least - 1 if len(head) else starts
+
+
 def _short(pairs: np.ndarray) -> np.ndarray:
     return ((pairs.view(np.uint64) * MULTIPLIER) >> np.uint64(64 - SIEVE_BITS)).view(np.int64)
 
