@@ -175,32 +175,48 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(100 * both >= percent * (F.col("n_a") + F.col("n_b") - both)).select("a", "b")
 
 
+def _inner(near: DataFrame, sets: DataFrame) -> DataFrame:
+    """``key, centre, size, inner, lacks``: for each set the one of its central sets that is near most sets, its size, how many
+    shingles they share, and a bit for each of 64 classes of shingles of which the set lacks one: two sets lack at least as many as both have bits."""
+    popular = near.groupBy("centre").agg(F.count("*").alias("c"))
+    chosen = near.join(popular, "centre").groupBy("key").agg(F.max(F.struct("c", "centre"))["centre"].alias("centre"))
+    one, two = sets.select("key", "tokens"), sets.select(F.col("key").alias("centre"), F.col("tokens").alias("theirs"))
+    both = chosen.join(one, "key").join(two, "centre").select("key", "centre", F.size("theirs").cast("long").alias("size"), F.array_except("theirs", "tokens").alias("missing"))
+    lacks = F.expr("aggregate(missing, 0L, (bits, x) -> bits | shiftleft(1L, CAST(pmod(x, 64) AS INT)))")
+    return both.select("key", "centre", "size", (F.col("size") - F.size("missing")).alias("inner"), lacks.alias("lacks"))
+
+
 def set_links(sets: DataFrame, percent: int) -> DataFrame:
     """Edges ``a, b`` between linked ``sets`` (``key``, ``n``, ``tokens``) that connect all that links connect.
 
     Every posting's set is first compared with the most central set of the shingle, the one with the smallest part of its own
     alone. Pairs of sets that this leaves in different components are candidates if they share as many prefix shingles as
     the prefix of the smaller key reaches; pairs of one component need no comparison, as the answer would change nothing. A shared
-    shingle counts only where its places in both lists leave room for the overlap that a link needs.
+    shingle counts only where its places in both lists leave room for the overlap that a link needs, and where what both share
+    with a common central set, and what both hold beside it, leave that room too.
     """
     postings = staged(prefixes(sets, percent), "prefixes")
     central = F.struct((1 - F.col("shared") / F.col("n")).alias("alone"), "key", "n", "shared")
     hubs = staged(postings.where("level = 1").groupBy("token").agg(F.min(central).alias("hub"), F.count("*").alias("c")).where("c > 1").select("token", "hub"), "hubs")
-    starred = postings.where("level = 1").join(hubs, "token").where("key <> hub.key")
-    stars = starred.where(F.least("shared", "hub.shared") >= _least_overlap(F.col("n"), F.col("hub.n"), percent)).select(
+    near = postings.where("level = 1").join(hubs, "token")
+    inner = staged(_inner(near.select("key", F.col("hub.key").alias("centre")).distinct(), sets), "inner")
+    stars = near.where("key <> hub.key").where(F.least("shared", "hub.shared") >= _least_overlap(F.col("n"), F.col("hub.n"), percent)).select(
         F.least("key", "hub.key").alias("a"), F.greatest("key", "hub.key").alias("b")).distinct()
     edges = staged(verified(stars, sets, percent), "stars")
     known = components(edges)
     labelled = staged(postings.join(known.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key")), "labelled")
     mixed = staged(labelled.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("token"), "mixed")
-    open_ = staged(labelled.join(mixed, "token"), "open")
+    open_ = staged(labelled.join(mixed, "token").join(inner, "key", "left").withColumn("inner", F.least("inner", "shared")), "open")
     x, y = open_.alias("x"), open_.alias("y")
     need = _least_overlap(F.col("x.n"), F.col("y.n"), percent)
     # What two sets can share: all before the nearer place of a common shingle, and all from it on in the shorter rest.
     possible = F.least("x.at", "y.at") + F.least(F.col("x.shared") - F.col("x.at"), F.col("y.shared") - F.col("y.at"))
+    common = F.least("x.inner", "y.inner", F.col("x.size") - F.bit_count(F.col("x.lacks").bitwiseOR(F.col("y.lacks"))))
+    within = common + F.least(F.col("x.shared") - F.col("x.inner"), F.col("y.shared") - F.col("y.inner"))
+    room = F.coalesce((F.col("x.centre") != F.col("y.centre")) | (within >= need), F.lit(True))
     met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.key") < F.col("y.key")) & (F.col("x.component") != F.col("y.component"))
                  & (F.col("x.level") <= F.col("x.reach")) & (F.col("y.level") <= F.col("x.reach"))
-                 & (F.least("x.shared", "y.shared") >= need) & (F.least("x.n", "y.n") >= need) & (possible >= need))
+                 & (F.least("x.shared", "y.shared") >= need) & (F.least("x.n", "y.n") >= need) & (possible >= need) & room)
     candidates = met.groupBy(F.col("x.key").alias("a"), F.col("y.key").alias("b")).agg(F.count("*").alias("c"), F.first("x.reach").alias("reach")).where("c >= reach")
     return edges.unionByName(verified(candidates.select("a", "b"), sets, percent))
 
