@@ -152,14 +152,15 @@ def prefixes(sets: DataFrame, percent: int) -> DataFrame:
     cost, which is the postings that are read plus the candidates they can make, at most postings / l, each as
     costly as a comparison of the set.
     """
-    postings = sets.select("key", "n", F.explode("tokens").alias("token"))
+    postings = sets.select("key", F.explode("tokens").alias("token"))
     frequency = staged(postings.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "frequency")
-    lists = postings.join(frequency, "token").groupBy("key", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("list"))
+    lists = postings.join(frequency, "token").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("list"))
+    lists = lists.join(sets.select("key", "n"), "key")
     lists = lists.withColumn("shared", F.size("list").cast("long")).withColumn("left", F.floor(F.col("n") * (100 - percent) / 100).cast("long") - (F.col("n") - F.col("shared")))
-    lists = lists.where("left >= 0").withColumn("list", F.slice("list", 1, (F.col("left") + LEVELS).cast("int")))
+    lists = lists.where("left >= 0").withColumn("list", F.slice("list", 1, F.greatest(F.lit(0), F.col("left") + LEVELS).cast("int")))
     costs = []
     for level in range(1, LEVELS + 1):
-        read = F.aggregate(F.slice("list", 1, (F.col("left") + level).cast("int")), F.lit(0).cast("long"), lambda s, x: s + x["df"])
+        read = F.aggregate(F.slice("list", 1, F.greatest(F.lit(0), F.col("left") + level).cast("int")), F.lit(0).cast("long"), lambda s, x: s + x["df"])
         possible = F.size("list") >= F.col("left") + level
         costs.append(F.when(possible, F.struct((read + read / level * F.col("n")).alias("cost"), F.lit(level).alias("level"))))
     chosen = F.coalesce(F.array_min(F.array_compact(F.array(*costs)))["level"], F.lit(1))
@@ -253,7 +254,9 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
             yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), pa.array(np.diff(bounds)), lists], names=["key", "n", "tokens"])
 
     made = left.select("text").mapInArrow(make, "key long, n long, tokens array<bigint>").join(chosen.select("key"), "key", "left_semi")
-    sets = staged(made.dropDuplicates(["key"]), "shingles")
+    # Only rows of one id can bring a chosen set twice.
+    repeated = not own.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty()
+    sets = staged(made.dropDuplicates(["key"]) if repeated else made, "shingles")
     # Several sets of one id hang together by it; the first of them stands for all.
     groups = components(set_links(sets, percent).unionByName(_same_id(known)))
     labelled = staged(distinct.join(groups.withColumnRenamed("node", "key"), "key", "left").select("key", "doc_id", F.coalesce("component", "key").alias("component")), "labelled")
