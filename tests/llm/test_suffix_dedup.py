@@ -17,7 +17,8 @@ def brute(rows, length):
             if piece in seen:
                 gone.update(range(i, i + length))
             seen.add(piece)
-        out[doc, text] = bytes(b for i, b in enumerate(raw) if i not in gone)
+        spans = sum(i - 1 not in gone for i in gone)
+        out[doc, text] = bytes(b for i, b in enumerate(raw) if i not in gone), spans
     return out
 
 
@@ -53,9 +54,31 @@ def test_against_brute_force(spark):
         got = suffix_dedup.remove_repeats(docs, hot=hot).collect()
         assert len(got) == len(rows)
         for r in got:
-            kept = want[-1 if r.doc_id is None else r.doc_id, r.text or ""]
+            kept, spans = want[-1 if r.doc_id is None else r.doc_id, r.text or ""]
             assert bytes(r.kept) == kept, (r.doc_id, hot)
-            assert (r.n_bytes, r.n_removed) == (len((r.text or "").encode()), len((r.text or "").encode()) - len(kept))
+            size = len((r.text or "").encode())
+            assert (r.n_bytes, r.n_removed, r.n_spans) == (size, size - len(kept), spans)
+
+
+def test_repeated_anchors_come_packed_by_text(spark):
+    texts = {i: t for i, (_, t) in enumerate(corpus(random.Random(3))) if t and len(t.encode()) >= 100}
+    found = {}
+    for i, t in texts.items():
+        row, place, code, _, _ = suffix_dedup.anchors(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))
+        for p, c in set(zip(place.tolist(), code.tolist())):
+            found.setdefault(c, set()).add((i, p))
+    want = {i: sorted(p for own in found.values() if len(own) > 1 for j, p in own if j == i) for i in texts}
+    rows = spark.createDataFrame(list(texts.items()) * 2, "h long, text string").repartition(3)
+    for buckets, targets in ((1, 1), (3, 5)):
+        got = suffix_dedup.repeated_anchors(rows, buckets, targets).collect()
+        assert {r.h: sorted(r.places) for r in got} == {i: p for i, p in want.items() if p}
+        assert len(got) == len({r.h for r in got})
+
+
+def test_joined_ranges():
+    got = suffix_dedup._joined(np.array([2, 1, 1, 1, 1]), np.array([3, 0, 5, 39, 200]), np.array([4, 30, 6, 50, 201]), 9)
+    assert got.to_pylist() == [{"h": 1, "first": 0, "last": 50}, {"h": 1, "first": 200, "last": 201}, {"h": 2, "first": 3, "last": 4}]
+    assert suffix_dedup._joined(*(np.zeros(0, np.int64),) * 3, 9).num_rows == 0
 
 
 def test_empty(spark):

@@ -115,11 +115,26 @@ def _column(table, name: str, kind) -> np.ndarray:
     return np.concatenate([np.frombuffer(x.as_py(), kind) for x in table.column(name)] or [np.zeros(0, kind)])
 
 
-def repeated_anchors(texts: DataFrame, buckets: int, hot: int = HOT) -> DataFrame:
-    """``h, places``: of each distinct text (by hash ``h``) the places of anchors that occur elsewhere, in it or in another text; negative - 1 if hot."""
+def _packed(name: str, group: np.ndarray, columns: dict):
+    """A batch for each group: its number as ``name``, and its values of each column in one binary cell."""
+    order = np.argsort(group, kind="stable")
+    ends = np.flatnonzero(np.diff(group[order], append=-1)) + 1 if len(group) else ()
+    start = 0
+    for end in ends:
+        at = order[start:end]
+        yield pa.RecordBatch.from_arrays([pa.array([int(group[at[0]])]), *[pa.array([x[at].tobytes()], pa.binary()) for x in columns.values()]], names=[name, *columns])
+        start = end
+
+
+def repeated_anchors(texts: DataFrame, buckets: int, targets: int, hot: int = HOT) -> DataFrame:
+    """``h, places``: a row for each distinct text (by hash ``h``) with the places of anchors that occur elsewhere, in it or in another text; negative - 1 if hot.
+
+    Anchors meet by their hash in ``buckets``; what repeats goes back packed, one row for each bucket and target, and is put together by text there.
+    """
 
     def cut(batches):
         for batch in batches:
+            batch = batch.take(np.unique(batch.column("h").to_numpy(), return_index=True)[1])  # copies bring the same places
             parts = []
             for part in slices([batch]):
                 data, offsets = text_bytes(part.column("text"))
@@ -127,12 +142,7 @@ def repeated_anchors(texts: DataFrame, buckets: int, hot: int = HOT) -> DataFram
                 parts.append((code, part.column("h").to_numpy()[row], place))
             code, h, place = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.uint64),) * 3
             bucket = ((code >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            for b in np.flatnonzero(np.diff(edges)):
-                at = order[edges[b] : edges[b + 1]]
-                yield pa.RecordBatch.from_arrays([pa.array([int(b)]), *[pa.array([x[at].astype(t).tobytes()], pa.binary()) for x, t in ((code, "u8"), (h, "i8"), (place, "i4"))]],
-                                                 names=["bucket", "code", "h", "place"])
+            yield from _packed("bucket", bucket, {"code": code.astype("u8"), "h": h.astype("i8"), "place": place.astype("i4")})
 
     def meet(table):
         code, h, place = _column(table, "code", np.uint64), _column(table, "h", np.int64), _column(table, "place", np.int32)
@@ -146,13 +156,20 @@ def repeated_anchors(texts: DataFrame, buckets: int, hot: int = HOT) -> DataFram
         own = np.repeat(counts, counts)
         place = np.where(own > hot, -1 - place, place)[own > 1]
         h = h[own > 1]
+        target = (mix(h.view(np.uint64)) % np.uint64(targets)).astype(np.int64)
+        rows = list(_packed("target", target, {"h": h, "place": place.astype("i4")}))
+        return pa.Table.from_batches(rows, pa.schema([("target", pa.int64()), ("h", pa.binary()), ("place", pa.binary())]))
+
+    def gather(table):
+        h, place = _column(table, "h", np.int64), _column(table, "place", np.int32)
         order = np.argsort(h, kind="stable")
-        texts, first = np.unique(h[order], return_index=True)
+        own, first = np.unique(h[order], return_index=True)
         lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(h)), pa.int32()), pa.array(place[order], pa.int32()))
-        return pa.table({"h": texts, "places": lists})
+        return pa.table({"h": own, "places": lists})
 
     rows = texts.mapInArrow(cut, "bucket long, code binary, h binary, place binary")
-    return rows.groupBy("bucket").applyInArrow(meet, "h long, places array<int>")
+    packed = rows.groupBy("bucket").applyInArrow(meet, "target long, h binary, place binary")
+    return packed.groupBy("target").applyInArrow(gather, "h long, places array<int>")
 
 
 def _shard_pieces(buckets: int, length: int):
@@ -169,7 +186,7 @@ def _shard_pieces(buckets: int, length: int):
                 names = list(zip(part.column("doc_id").to_pylist(), part.column("h").to_pylist()))
                 for i, wanted in enumerate(part.column("places").to_pylist()):
                     own = slice(edges[i], edges[i + 1])
-                    wanted = {p if p >= 0 else -1 - p: p < 0 for places in wanted for p in places}
+                    wanted = {p if p >= 0 else -1 - p: p < 0 for p in wanted}
                     for p, c, a, b in zip(place[own].tolist(), code[own].tolist(), first[own].tolist(), last[own].tolist()):
                         if p not in wanted:
                             continue
@@ -208,6 +225,18 @@ def _pieces_row(bucket: int, own: list, done: list) -> pa.RecordBatch:
 PIECES = "bucket long, code binary, text binary, size binary, doc_id binary, h binary, first binary, last binary, done_doc_id binary, done_h binary, done_first binary, done_last binary"
 
 
+def _joined(h: np.ndarray, first: np.ndarray, last: np.ndarray, length: int) -> pa.Table:
+    """Ranges of starts, those of a text whose strings overlap or touch made one."""
+    order = np.lexsort([first, h])
+    h, first, last = h[order].astype(np.int64), first[order].astype(np.int64), last[order].astype(np.int64)
+    new = np.ones(len(h), bool)
+    text = np.cumsum(np.diff(h, prepend=h[:1]) != 0) << 32  # a place has fewer bits, so the running maximum starts anew with each text
+    reach = np.maximum.accumulate(text + last) - text if len(h) else last
+    new[1:] = (h[1:] != h[:-1]) | (first[1:] > reach[:-1] + length)
+    head = np.flatnonzero(new)
+    return pa.table({"h": h[head], "first": first[head], "last": reach[np.append(head[1:], len(h)) - 1] if len(h) else last})
+
+
 def _sort_shard(length: int):
     def meet(table):
         text, size, code = _column(table, "text", np.uint8), _column(table, "size", np.int32).astype(np.int64), _column(table, "code", np.uint64)
@@ -215,10 +244,19 @@ def _sort_shard(length: int):
         first, last = _column(table, "first", np.int32).astype(np.int64), _column(table, "last", np.int32).astype(np.int64)
         out = [(_column(table, "done_h", np.int64), _column(table, "done_first", np.int32), _column(table, "done_last", np.int32))]
         begin = np.cumsum(size) - size
-        order = np.lexsort([first, h, doc, code])
-        again = np.zeros(len(order), bool)  # pieces of repeated rows
-        again[1:] = np.all([x[order][1:] == x[order][:-1] for x in (first, h, doc, code)], axis=0)
-        order = order[~again]
+        # Equal pieces have the same anchor, so all of them are here: only the first one is sorted, the others are whole copies.
+        flat, found, copies = text.tobytes(), {}, []
+        for i, start, end in zip(*(x[np.lexsort([first, h, doc])].tolist() for x in (np.arange(len(size)), begin, begin + size))):
+            j = found.setdefault(flat[start:end], i)
+            if (first[j], h[j], doc[j]) != (first[i], h[i], doc[i]):  # a repeated row is no copy
+                copies.append(i)
+        out.append((h[copies], first[copies], last[copies]) if copies else (h[:0], first[:0], last[:0]))
+        order = np.fromiter(found.values(), np.int64, len(found))
+        del found
+        # Equal strings lie equally far from their anchor, so an anchor with one piece left repeats nothing.
+        _, group, counts = np.unique(code[order], return_inverse=True, return_counts=True)
+        order = order[counts[group] > 1]
+        order = order[np.argsort(code[order], kind="stable")]
         # Pieces of one anchor stay together; as many anchors as fit are sorted at once.
         ends = np.flatnonzero(np.concatenate([code[order][1:] != code[order][:-1], [True]])) + 1 if len(order) else np.zeros(0, np.int64)
         total, at = np.concatenate([[0], np.cumsum(size[order])]), 0
@@ -239,7 +277,7 @@ def _sort_shard(length: int):
             head = np.flatnonzero(new)
             tail = np.append(head[1:], len(place)) - 1 if len(head) else head
             out.append((h[own][piece[head]], place[head], place[tail]))
-        return pa.table({k: np.concatenate([x[i] for x in out]).astype(np.int64) for i, k in enumerate(("h", "first", "last"))})
+        return _joined(*(np.concatenate([x[i] for x in out]) for i in range(3)), length)
 
     return meet
 
@@ -249,9 +287,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
 
     A byte goes if a string of ``length`` bytes over it also starts earlier: in a document of a smaller id, or before in the same document.
     Documents of one id are ordered by the hash of their text, those without an id come first; repeated rows are one document and have one result.
-    Null and empty texts keep nothing. Columns named like a result are replaced, others stay.
+    Null and empty texts keep nothing; a text of 256 MB or more is refused. Columns named like a result are replaced, others stay.
 
-    Any two equal strings have the same anchor, so only pieces of text around anchors that occur twice are sorted, and pieces of one anchor meet in one shard.
+    Any two equal strings have the same anchor, so only pieces of text around anchors that occur twice are sorted, and pieces of one anchor meet in one shard,
+    where equal ones are sorted once.
     """
     names = ("kept", "n_bytes", "n_removed", "n_spans")
     docs, own_names = set_aside(docs.drop(*names).withColumn("text", F.col("text").cast("string")), ("h", "own_id", "first_id", "ranges"))
@@ -262,10 +301,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
     firsts = staged(texts.groupBy("h").agg(F.min("doc_id").alias("first_id"), F.sum(F.octet_length("text")).alias("n")), "firsts")
     total = firsts.agg(F.sum("n")).first()[0] or 0
     buckets = int(total * 2 / (length - GRAM + 2)) // SHARD_ANCHORS + 1
-    found = staged(repeated_anchors(texts.select("h", "text"), buckets, hot), "anchors")
-    wanted = staged(found.groupBy("h").agg(F.collect_list("places").alias("places"), F.sum(F.size("places")).alias("n")), "wanted")
-    pieces = (wanted.agg(F.sum("n")).first()[0] or 0) // SHARD_PIECES + 1
-    around = texts.join(wanted.join(firsts.select("h", F.col("first_id").alias("doc_id")), "h").drop("n"), ["h", "doc_id"])
+    targets = max(buckets, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    wanted = staged(repeated_anchors(texts.select("h", "text"), buckets, targets, hot), "wanted")
+    pieces = (wanted.agg(F.sum(F.size("places"))).first()[0] or 0) // SHARD_PIECES + 1
+    around = texts.join(wanted.join(firsts.select("h", F.col("first_id").alias("doc_id")), "h"), ["h", "doc_id"])
     rows = around.select("doc_id", "h", "text", "places").mapInArrow(_shard_pieces(int(pieces), length), PIECES)
     ranges = staged(rows.groupBy("bucket").applyInArrow(_sort_shard(length), "h long, first long, last long"), "ranges")
     spans = staged(ranges.groupBy("h").agg(F.collect_list(F.struct("first", "last")).alias("ranges")), "spans")
