@@ -33,23 +33,26 @@ def suffix_ranks(text: np.ndarray, depth: int = DEPTH) -> np.ndarray:
     s = np.concatenate([text.astype(np.int64), np.zeros(3, np.int64)])
     zeros, ones, twos = (np.arange(k, n, 3) for k in range(3))
     sample = np.concatenate([ones, twos])
-    names = np.unique((s[sample] << 42) | (s[sample + 1] << 21) | s[sample + 2], return_inverse=True)[1] + 1
+    triples = (s[sample] << 42) | (s[sample + 1] << 21) | s[sample + 2]
+    order = np.argsort(triples)
+    names = np.empty(len(sample), np.int64)
+    names[order] = np.cumsum(np.diff(triples[order], prepend=-1) != 0)
     if depth and len(names) and names.max() < len(names):
         ranks = suffix_ranks(np.concatenate([names[: len(ones)] + 1, [1], names[len(ones) :] + 1]), depth - 1)
-        names = np.unique(np.delete(ranks, len(ones)), return_inverse=True)[1] + 1
+        names = np.delete(ranks, len(ones))
+        names -= names > ranks[len(ones)]
+        order[names - 1] = np.arange(len(names))
     rank = np.zeros(n + 3, np.int64)
     rank[sample] = names
     one_key = lambda i: (s[i] << 21) | rank[i + 1]
     two_key = lambda i: (s[i] << 42) | (s[i + 1] << 21) | rank[i + 2]
-    before, key = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    key[zeros] = one_key(zeros)
-    before[zeros] = np.searchsorted(np.sort(one_key(ones)), key[zeros]) + np.searchsorted(np.sort(two_key(twos)), two_key(zeros))
-    if len(sample):
-        sizes = np.bincount(names)
-        before[sample], key[sample] = (np.cumsum(sizes) - sizes)[names], names
-    kind = np.arange(n) % 3 != 0
+    zeros = zeros[np.argsort(one_key(zeros))]
+    before = np.searchsorted(np.sort(one_key(ones)), one_key(zeros)) + np.searchsorted(np.sort(two_key(twos)), two_key(zeros))
+    place = np.maximum.accumulate(before) + np.arange(len(zeros))  # counts fall only among suffixes that agree further than asked
+    free = np.ones(n, bool)
+    free[place] = False
     out = np.empty(n, np.int64)
-    out[np.lexsort([key, kind, before])] = np.arange(1, n + 1)
+    out[zeros], out[sample[order]] = place + 1, np.flatnonzero(free) + 1
     return out
 
 
@@ -57,7 +60,8 @@ def repeated_starts(text: np.ndarray, starts: np.ndarray, length: int = LENGTH)
     """Which of ``starts`` begin a string of ``length`` bytes that also begins at a smaller one of them."""
     place = np.full(len(text), -1)
     place[starts] = np.arange(len(starts))
-    order = np.argsort(suffix_ranks(text.astype(np.int64) + 1))
+    order = np.empty(len(text), np.int64)
+    order[suffix_ranks(text.astype(np.int64) + 1) - 1] = np.arange(len(text))
     order = order[place[order] >= 0]
     a, b = order[:-1], order[1:]
     same = np.ones(len(a), bool)
