@@ -2,6 +2,7 @@ import json
 import math
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from textlab.operators import classify, report
@@ -80,6 +81,16 @@ def test_train_predict_save_load(spark, tmp_path):
     assert {r["class"] for r in result.report.collect()} >= {"3", "8", "accuracy", "macro avg", "weighted avg"}
 
 
+def test_two_classes_are_predicted_in_a_session_that_has_observed(spark):
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+    rows = wine(spark).withColumn("quality", (F.col("quality") > 5).cast("int"))
+    result = train_and_evaluate(rows, WINE_FEATURES, "quality", ["Id"], trees=5)
+    assert {r.part: r.accuracy > 0.9 for r in result.accuracy.collect()} == {"train": True, "test": True}
+    assert not next(s for s in result.model.stages if hasattr(s, "featureImportances")).hasSummary
+
+
 def test_score_a_request_file(spark, tmp_path):
     rows = [sample(), sample(alcohol=99.0), sample(alcohol=13.0)]
     (tmp_path / "one.json").write_text(json.dumps({"wines": rows}, indent=2))

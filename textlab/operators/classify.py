@@ -57,6 +57,8 @@ def train_classifier(
         rawPredictionCol="_raw", numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf, seed=seed,
     ).fit(names.transform(prepare.transform(rows)))
     rows.unpersist()
+    # A copy has no training summary. The summary holds the session, which tasks cannot be sent once it has observed a query.
+    forest = forest.copy()
     back = IndexToString(inputCol="_prediction", outputCol="_predicted", labels=names.labels)
     return PipelineModel(stages=[*prepare.stages, forest, back])
 
