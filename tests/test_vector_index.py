@@ -1,6 +1,7 @@
 """The stored index against exact search."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,3 +85,15 @@ def test_every_row_is_indexed_once_and_rows_can_follow(spark, tmp_path, monkeypa
         index.search([1.0] * 7)
     with pytest.raises(Exception, match="does not have 6 entries"):
         index.append(spark.createDataFrame([(1, [1.0], "p")], table.schema))
+
+
+def test_queries_travel_once_with_all_their_lists():
+    rng = np.random.default_rng(1)
+    coder = vector_index.Coder(rng.normal(size=(200, 8)), rng.normal(size=(2, 256, 4)))
+    queries = rng.normal(size=(1000, 8))
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(1000)), pa.array(queries.tolist())], names=["_q", "_v"])
+    made = list(vector_index.routed([batch], coder, 120, 20_000))
+    assert max(b.num_rows for b in made) == 100  # 20,000 distances at once
+    assert sum(b.nbytes for b in made) < 2 * batch.nbytes + 1000 * 120 * 4  # vectors are not repeated for every list
+    assert [x for b in made for x in b["_q"].to_pylist()] == list(range(1000))
+    assert [x for b in made for x in b["_lists"].to_pylist()] == coder.probes(queries, 120).tolist()

@@ -83,6 +83,20 @@ def _matrix(column, dim: int) -> np.ndarray:
     return np.asarray(column.flatten(), np.float64).reshape(len(column), dim)
 
 
+def routed(batches, coder: Coder, probes: int, at_once: int = SCORES):
+    """Arrow batches of queries ``_q``, ``_v`` with the closest lists of each in ``_lists``; about ``at_once`` distances are held."""
+    import pyarrow as pa
+
+    step = max(1, at_once // len(coder.centroids))
+    for batch in batches:
+        for i in range(0, batch.num_rows, step):
+            part = batch.slice(i, step)
+            lists = coder.probes(_matrix(part.column("_v"), coder.dim), probes).astype(np.int32)
+            bounds = pa.array(np.arange(len(lists) + 1, dtype=np.int32) * lists.shape[1])
+            yield pa.RecordBatch.from_arrays(
+                [part.column("_q"), part.column("_v"), pa.ListArray.from_arrays(bounds, pa.array(lists.ravel()))], names=["_q", "_v", "_lists"])
+
+
 def fit(table: DataFrame, vector: str, lists: int | None, parts: int | None, seed: int) -> Coder:
     """Fit on ``SAMPLE_ROWS`` rows, those with the smallest hashes of their vectors. Codebooks of the parts are fitted side by side."""
     known = table.where(F.col(vector).isNotNull())
@@ -223,15 +237,10 @@ class VectorIndex:
         asked = queries.select(F.col(query_id).alias("_q"), F.col(query_vector).cast("array<double>").alias("_v"))
 
         def probe(batches):
-            import pyarrow as pa
-
-            coder = Coder(*shared.value)
-            for batch in batches:
-                lists = coder.probes(_matrix(batch.column("_v"), dim), probes)
-                row = pa.array(np.repeat(np.arange(len(lists)), lists.shape[1]))
-                yield pa.RecordBatch.from_arrays([batch.column("_q").take(row), batch.column("_v").take(row), pa.array(lists.ravel().astype(np.int32))], names=["_q", "_v", "_list"])
+            return routed(batches, Coder(*shared.value), probes, at_once)
 
-        sent = asked.mapInArrow(probe, T.StructType([*asked.schema.fields, T.StructField("_list", T.IntegerType())]))
+        routes = asked.mapInArrow(probe, T.StructType([*asked.schema.fields, T.StructField("_lists", T.ArrayType(T.IntegerType()))]))
+        sent = routes.select("_q", "_v", F.explode("_lists").alias("_list"))
         sent = sent.withColumns({"_block": F.pmod(F.xxhash64("_q", "_v"), F.lit(blocks)), "_part": F.explode(F.sequence(F.lit(0), parts - 1))})
         coded = rows.select(
             F.col(key).alias("_k"), "_code", "_list", F.pmod(F.xxhash64(key), parts).cast("int").alias("_part"),
