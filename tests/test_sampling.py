@@ -1,6 +1,8 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from textlab.operators import sampling
@@ -105,3 +107,21 @@ def test_stratified_sizes(spark):
 def test_empty(spark):
     assert sampling.sample_n(frame(spark, 0), 5, ["id"]).count() == 0
     assert sampling.split_flag(frame(spark, 0), ["label"], ["id"]).count() == 0
+
+
+def test_a_task_holds_little_more_than_it_keeps(monkeypatch):
+    monkeypatch.setattr(sampling, "CUT_ROWS", 1000)
+    held, before = [], pa.total_allocated_bytes()
+
+    def batches():
+        for i in range(400):
+            held.append(pa.total_allocated_bytes() - before)
+            ids = np.arange(i * 500, (i + 1) * 500)
+            at = pa.StructArray.from_arrays([pa.array([digest(x) for x in ids.tolist()]), pa.array(ids)], names=["h", "k"])
+            yield pa.RecordBatch.from_arrays([pa.array((ids % 100).astype(str)), at], names=["_stratum", "_at"])
+
+    made = list(sampling.kept_hashes(batches(), 1, 50))
+    assert max(held) < 100 * 50 * 2 * 60  # twice the rows that are kept, of 60 bytes; four times and 65,536 rows were held before
+    got = sorted((r["_stratum"], r["_at"]["k"]) for b in made for r in b.to_pylist() if r["_at"])
+    assert got == sorted((str(g), x) for g in range(100) for x in sorted(range(g, 200_000, 100), key=digest)[:50])
+    assert sum(r["_rows"] or 0 for b in made for r in b.to_pylist()) == 200_000

@@ -20,6 +20,7 @@ PREFIX = 3                 # hex digits per narrowing step: 4,096 counts per str
 RANK_ROWS = 1_000_000      # rows of one prefix that may be ranked in one task
 BOTTOM_ROWS = 50_000       # rows of a stratum up to which a sample keeps its smallest hashes in one pass
 MERGE_ROWS = 2_000_000     # hashes of all tasks that one task may rank
+CUT_ROWS = 65_536          # rows that a task takes in, at least, before it cuts what it holds
 
 
 def hash_order(key: Sequence[str], seed: int) -> Column:
@@ -73,52 +74,62 @@ def quota_cuts(
     )
 
 
+def kept_hashes(batches, keys: int, n: int):
+    """Of Arrow batches ``(_stratum, _at)`` the ``n`` smallest ``_at`` of every stratum, and then the rows of each stratum.
+
+    What is held is cut whenever as many rows came as half of what the last cut left, and ``CUT_ROWS`` at least.
+    """
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    fields = [f"k{i}" for i in range(keys)]
+    order = [(name, "ascending") for name in ("s", "h", *fields)]
+
+    def cut(tables):
+        whole = pa.concat_tables(tables).combine_chunks()
+        keyed = pa.table([whole.column("_stratum"), *whole.column("_at").combine_chunks().flatten()], names=["s", "h", *fields])
+        sorted_ = pc.sort_indices(keyed, sort_keys=order, null_placement="at_start").to_numpy()
+        codes = whole.column("_stratum").combine_chunks().dictionary_encode().indices.to_numpy()[sorted_]
+        heads = np.flatnonzero(np.diff(codes, prepend=-1))
+        place = np.arange(len(codes)) - np.repeat(heads, np.diff(np.append(heads, len(codes))))
+        return whole.take(pa.array(sorted_[place < n]))
+
+    held, left, fresh, seen, schema = [], 0, 0, {}, None
+    for batch in batches:
+        schema = batch.schema
+        for c in pc.value_counts(batch.column("_stratum")).to_pylist():
+            seen[c["values"]] = seen.get(c["values"], 0) + c["counts"]
+        held.append(pa.Table.from_batches([batch]))
+        fresh += batch.num_rows
+        if fresh > max(CUT_ROWS, left // 2):
+            held = [cut(held)]
+            left, fresh = held[0].num_rows, 0
+    if schema is None:
+        return
+    kept, names = cut(held).combine_chunks(), list(seen)
+    held.clear()
+    written = pa.schema([(name, schema.field(name).type) for name in ("_stratum", "_at")] + [("_rows", pa.int64())])
+    for part in kept.to_batches(max_chunksize=CUT_ROWS):
+        yield pa.RecordBatch.from_arrays([part.column("_stratum"), part.column("_at"), pa.nulls(part.num_rows, pa.int64())], schema=written)
+    yield pa.RecordBatch.from_arrays([
+        pa.array(names, written.field("_stratum").type), pa.nulls(len(names), written.field("_at").type),
+        pa.array([seen[x] for x in names], pa.int64())], schema=written)
+
+
 def smallest_hashes(df: DataFrame, by: Sequence[str], key: Sequence[str], seed: int, n: int) -> tuple[DataFrame, int]:
     """One pass: the ``n`` smallest hashes of every stratum in every task and its number of rows, written to the shared
     folder, and how many rows that made.
 
     Hashes are rows ``(_stratum, _at)``, counts ``(_stratum, _rows)`` with a null ``_at``. Two such tables are merged by
-    their union, as the smallest of all are among the smallest of each. A task holds at most a few times ``n`` rows per stratum.
+    their union, as the smallest of all are among the smallest of each. A task holds at most half more than ``n`` rows per stratum, and ``CUT_ROWS``.
     """
     stratum = F.to_json(F.struct(*by), {"ignoreNullFields": "false"}) if by else F.lit("")
     rows = df.select(stratum.alias("_stratum"), F.struct(hash_order(key, seed).alias("h"), *[F.col(k) for k in key]).alias("_at"))
-    order = [("h", "ascending")] + [(f"k{i}", "ascending") for i in range(len(key))]
+    keys = len(key)
 
     def run(batches):
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        def cut(tables):
-            whole = pa.concat_tables(tables)
-            fields = whole.column("_at").combine_chunks().flatten()
-            keyed = pa.table([whole.column("_stratum"), *fields], names=["s", "h", *[f"k{i}" for i in range(len(key))]])
-            sorted_ = pc.sort_indices(keyed, sort_keys=[("s", "ascending"), *order], null_placement="at_start").to_numpy()
-            codes = whole.column("_stratum").combine_chunks().dictionary_encode().indices.to_numpy()[sorted_]
-            heads = np.flatnonzero(np.diff(codes, prepend=-1))
-            place = np.arange(len(codes)) - np.repeat(heads, np.diff(np.append(heads, len(codes))))
-            return whole.take(pa.array(sorted_[place < n]))
-
-        held, count, seen, schema = [], 0, {}, None
-        for batch in batches:
-            schema = batch.schema
-            for c in pc.value_counts(batch.column("_stratum")).to_pylist():
-                seen[c["values"]] = seen.get(c["values"], 0) + c["counts"]
-            held.append(pa.Table.from_batches([batch]))
-            count += batch.num_rows
-            if count > 4 * n * len(seen) + 65_536:
-                held = [cut(held)]
-                count = held[0].num_rows
-        if schema is None:
-            return
-        kept, names = cut(held).combine_chunks(), list(seen)
-        written = pa.schema([(name, schema.field(name).type) for name in ("_stratum", "_at")] + [("_rows", pa.int64())])
-        parts = [
-            (kept.column("_stratum").combine_chunks(), kept.column("_at").combine_chunks(), pa.nulls(kept.num_rows, pa.int64())),
-            (pa.array(names, written.field("_stratum").type), pa.nulls(len(names), written.field("_at").type), pa.array([seen[x] for x in names], pa.int64())),
-        ]
-        for columns in parts:
-            yield pa.RecordBatch.from_arrays(list(columns), schema=written)
+        return kept_hashes(batches, keys, n)
 
     made = rows.mapInArrow(run, T.StructType([*[T.StructField(f.name, f.dataType) for f in rows.schema], T.StructField("_rows", T.LongType())]))
     path, seen = shared_path(df.sparkSession, "hashes"), Observation()
