@@ -73,6 +73,17 @@ def test_source_info(spark, sf, tmp_path):
     assert (missing.exists, missing.total_rows) == (False, 0)
 
 
+def test_source_info_counts_files_without_rows(spark, tmp_path):
+    for name, rows in (("a", 5), ("b", 0)):
+        spark.range(rows).repartition(1).write.parquet(f"{tmp_path}/{name}")
+    (tmp_path / "both").mkdir()
+    parts = [f for name in ("a", "b") for f in (tmp_path / name).glob("*.parquet")]
+    for part in parts:
+        (tmp_path / "both" / part.name).write_bytes(part.read_bytes())
+    both = files.source_info(spark, str(tmp_path / "both")).first()
+    assert (both.n_files, both.total_rows, both.total_columns) == (len(parts), 5, 1) and len(parts) == 2  # one of them holds no row
+
+
 def test_spread(spark, sf):
     scan = spark.read.parquet(f"{sf}/documents.parquet")
     assert files.spread(scan, "doc_id").rdd.getNumPartitions() == 4

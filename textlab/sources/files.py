@@ -114,14 +114,11 @@ def source_info(spark: SparkSession, path: str) -> DataFrame:
     if not exists(spark, path):
         return spark.createDataFrame([(path, False, 0, 0.0, 0, 0)], SOURCE_INFO)
     df = spark.read.parquet(path)
-    files = df.groupBy(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes")
-    ).agg(F.count(F.lit(1)).alias("rows"))
-    return files.agg(
-        F.count(F.lit(1)).alias("n_files"),
-        F.round(F.coalesce(F.sum("bytes"), F.lit(0)) / F.lit(1024 * 1024), 2).alias("size_mb"),
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"),
-    ).select(
+    # Files without rows have no row that could name them: they are listed, not taken from the rows.
+    files = spark.read.format("binaryFile").load(path).agg(
+        F.count(F.lit(1)).alias("n_files"), F.round(F.coalesce(F.sum("length"), F.lit(0)) / F.lit(1024 * 1024), 2).alias("size_mb"),
+    )
+    return files.crossJoin(df.agg(F.count(F.lit(1)).alias("total_rows"))).select(
         F.lit(path).alias("path"), F.lit(True).alias("exists"), "n_files", "size_mb", "total_rows",
         F.lit(len(df.columns)).cast("long").alias("total_columns"),
     )
