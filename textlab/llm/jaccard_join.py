@@ -12,8 +12,9 @@ from textlab.llm.staging import staged
 from textlab.llm.words import NOT_SPACE, mix, slices, words
 
 LEVELS = 6                 # longest prefix extension that is considered
-BUCKET_POSTINGS = 1 << 20  # postings that one group of the sieve holds on average
+BUCKET_POSTINGS = 1 << 19  # postings that one group of the sieve holds on average
 TARGET_SETS = 1 << 18      # sets whose counts one group adds up, at least as many groups as shuffle partitions
+SLICE = 1 << 18            # bytes of text whose shingles a task makes at once
 SIEVES = (20, 3)           # parts of a set by which the two sieves' prefixes are longer
 
 
@@ -49,7 +50,7 @@ def document_sets(docs: DataFrame, width: int) -> DataFrame:
     """``doc_id, n_shingles, key``: size and hash of every row's set."""
 
     def run(batches):
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE):
             _, bounds, key = shingle_sets(part.column("text"), width)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(bounds)), pa.array(key.astype(np.int64))], names=["doc_id", "n_shingles", "key"])
 
@@ -69,7 +70,7 @@ def shared_counts(texts: DataFrame, width: int, percent: int, part_of: int, buck
     def cut(batches):
         for batch in batches:
             tokens, keys, seen = [], [], set()
-            for part in slices([batch]):
+            for part in slices([batch], limit=SLICE):
                 code, bounds, key = shingle_sets(part.column("text"), width)
                 for i in range(part.num_rows):
                     n = int(bounds[i + 1] - bounds[i])
@@ -248,7 +249,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
         total = chosen.agg(F.sum("n")).first()[0] or 0
 
     def make(batches):
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE):
             code, bounds, key = shingle_sets(part.column("text"), width)
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(code.astype(np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), pa.array(np.diff(bounds)), lists], names=["key", "n", "tokens"])
