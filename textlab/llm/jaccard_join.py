@@ -16,6 +16,8 @@ BUCKET_POSTINGS = 1 << 19  # postings that one group of the sieve holds on avera
 TARGET_SETS = 1 << 18      # sets whose counts one group adds up, at least as many groups as shuffle partitions
 SLICE = 1 << 18            # bytes of text whose shingles a task makes at once
 SIEVES = (20, 3)           # parts of a set by which the two sieves' prefixes are longer
+FILTER_WORDS = 1 << 19     # 64-bit words of the largest filter of ids that is broadcast
+WORD_IDS = 8               # ids that share a word of it
 
 
 def shingle_sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -139,6 +141,21 @@ def _runs(token: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return starts, several, np.repeat(several, np.diff(np.append(starts, len(token))))
 
 
+def among(rows: DataFrame, ids: DataFrame, count: int) -> DataFrame:
+    """The ``rows`` whose ``doc_id`` is one of the ``count`` distinct ``ids``, and a few per cent of the others, without a shuffle of ``rows``.
+
+    A Bloom filter is broadcast that sets four bits of one 64-bit word for each id. Where its FILTER_WORDS would hold more than WORD_IDS
+    ids each, ``rows`` are shuffled and joined with ``ids`` instead.
+    """
+    slots = count // WORD_IDS + 1
+    if slots > FILTER_WORDS:
+        return rows.join(ids, "doc_id", "left_semi")
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(slots))
+    bits = F.expr(" | ".join(f"shiftleft(1L, CAST(shiftright(xxhash64(doc_id, 1), {6 * i}) & 63 AS INT))" for i in range(4)))
+    words = ids.groupBy(slot.alias("slot")).agg(F.bit_or(bits).alias("word"))
+    return rows.join(F.broadcast(words), (slot == F.col("slot")) & (F.col("word").bitwiseAND(bits) == bits), "left_semi")
+
+
 def _least_overlap(a: Column, b: Column, percent: int) -> Column:
     """Shingles that sets of these sizes share if they are linked."""
     return F.ceil((a + b) * percent / (100 + percent) - 1e-9)
@@ -182,8 +199,9 @@ def _inner(near: DataFrame, sets: DataFrame) -> DataFrame:
     shingles they share, and a bit for each of 64 classes of shingles of which the set lacks one: two sets lack at least as many as both have bits."""
     popular = near.groupBy("centre").agg(F.count("*").alias("c"))
     chosen = near.join(popular, "centre").groupBy("key").agg(F.max(F.struct("c", "centre"))["centre"].alias("centre"))
-    one, two = sets.select("key", "tokens"), sets.select(F.col("key").alias("centre"), F.col("tokens").alias("theirs"))
-    both = chosen.join(one, "key").join(two, "centre").select("key", "centre", F.size("theirs").cast("long").alias("size"), F.array_except("theirs", "tokens").alias("missing"))
+    # Both sides are renamed, so that they are one shuffle to the planner.
+    one, two = (sets.select(F.col("key").alias(k), F.col("tokens").alias(t)) for k, t in (("key_", "own"), ("centre_", "theirs")))
+    both = chosen.join(one, F.col("key") == F.col("key_")).join(two, F.col("centre") == F.col("centre_")).select("key", "centre", F.size("theirs").cast("long").alias("size"), F.array_except("theirs", "own").alias("missing"))
     lacks = F.expr("aggregate(missing, 0L, (bits, x) -> bits | shiftleft(1L, CAST(pmod(x, 64) AS INT)))")
     return both.select("key", "centre", "size", (F.col("size") - F.size("missing")).alias("inner"), lacks.alias("lacks"))
 
@@ -235,26 +253,27 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     known = own.where("n_shingles > 0 and doc_id is not null")
     total = known.agg(F.sum("n_shingles")).first()[0] or 0
     distinct = staged(known.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n")), "distinct")
-    # Two sieves leave the texts that can have a link: the second sees only what passes the first.
-    # Only their ids are written; texts are read again, by a semi join.
+    # Two sieves leave the texts that can have a link: the second sees what passes the first, and few others.
+    # Only their ids are written; texts are read again and do not move: what the filter of ids lets through in vain goes by its set's key.
     all_, chosen = texts.where("doc_id is not null"), distinct
-    left, count = all_, distinct.count()
-    targets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), count // TARGET_SETS + 1)
+    left = all_
+    targets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), distinct.count() // TARGET_SETS + 1)
     for part_of in SIEVES:
         share = (100 - percent) / 100 + 1 / part_of
         buckets = max(1, int(total * share) // BUCKET_POSTINGS + 1)
         passed = shared_counts(left, width, percent, part_of, buckets, targets).join(chosen, "key").where(F.col("shared") >= F.floor(F.col("n") / part_of) + 1)
         chosen = staged(passed.select("key", "doc_id", "n"), "passed")
-        left = all_.join(chosen.select("doc_id"), "doc_id", "left_semi")
-        total = chosen.agg(F.sum("n")).first()[0] or 0
+        total, count = chosen.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+        left = among(all_, chosen.select("doc_id"), count)
 
     def make(batches):
         for part in slices(batches, limit=SLICE):
             code, bounds, key = shingle_sets(part.column("text"), width)
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(code.astype(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), pa.array(np.diff(bounds)), lists], names=["key", "n", "tokens"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(key.astype(np.int64)), pa.array(np.diff(bounds)), lists], names=["doc_id", "key", "n", "tokens"])
 
-    made = left.select("text").mapInArrow(make, "key long, n long, tokens array<bigint>").join(chosen.select("key"), "key", "left_semi")
+    made = left.select("doc_id", "text").mapInArrow(make, "doc_id long, key long, n long, tokens array<bigint>")
+    made = made.join(chosen.select("key", "doc_id"), ["key", "doc_id"], "left_semi").select("key", "n", "tokens")
     # Only rows of one id can bring a chosen set twice.
     repeated = not own.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty()
     sets = staged(made.dropDuplicates(["key"]) if repeated else made, "shingles")

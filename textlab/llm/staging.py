@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``; a local session without that setting gets a temporary one."""
@@ -20,10 +23,22 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries run here remove their shuffle files when they end, instead of when the driver collects its garbage. Spark before 4.1 ignores it."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once and read again: cuts the lineage and survives lost executors."""
+    """``df`` written once and read again: cuts the lineage, survives lost executors and leaves no shuffle files."""
     path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
